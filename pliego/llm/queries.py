@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pliego.llm import budget, encode, pack
+from pliego.llm import budget, encode, neardup, overlap, pack
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -17,6 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# -- problem 1 ------------------------------------------------------------------------------------
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of hf rows, one of train and one of validation or test, with like texts or equal JSON."""
+    pairs = overlap.overlap(table(spark, sf_dir, "hf"))["pairs"]
+    return pairs.select(F.least("train", "eval").alias("row_a"), F.greatest("train", "eval").alias("row_b"))
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overlaps by evaluation split and source."""
+    hf = table(spark, sf_dir, "hf")
+    return overlap.report(hf, **overlap.overlap(hf))
+
+
 # -- problem 2 ------------------------------------------------------------------------------------
 
 
@@ -33,6 +48,21 @@ def p2_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budget.token_budget(p2_tokens(spark, sf_dir))
 
 
+# -- problem 4 ------------------------------------------------------------------------------------
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of ids of boe_documents with like title and text."""
+    return neardup.near_duplicates(table(spark, sf_dir, "boe_documents"))["pairs"]
+
+
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document, its class of equal word runs, and how many other classes that one is linked with."""
+    made = neardup.near_duplicates(table(spark, sf_dir, "boe_documents"))
+    ends = made["links"].select(F.explode(F.array("same_a", "same_b")).alias("same")).groupBy("same").agg(F.count(F.lit(1)).alias("enlaces"))
+    return made["members"].join(ends, "same", "left").select("id", F.col("same").alias("clase"), F.coalesce("enlaces", F.lit(0)).alias("enlaces"))
+
+
 # -- problem 6 ------------------------------------------------------------------------------------
 
 
@@ -55,5 +85,5 @@ def p7_waste(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.waste(p7_packs(spark, sf_dir), CAPACITY)
 
 
-QUERIES = {f.__name__: f for f in (p2_tokens, p2_budget, p6_ids, p7_packs, p7_waste)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_tokens, p2_budget, p4_found, p4_classes, p6_ids, p7_packs, p7_waste)}
 ORACLE_SQL: dict[str, str] = {}
