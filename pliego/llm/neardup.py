@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pliego.llm.spark import columns, prepare, stored
-from pliego.llm.words import LIKE, WordHash, digest, likeness, mix, runs, words
+from pliego.llm.words import LIKE, WordHash, digest, likeness, mix, runs
 
 #: Symbols of a sketch, segments on the ring, symbols of one segment.
 M, SEGMENTS = 128, 32
@@ -78,7 +78,7 @@ def sketches(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
             cols = [batch.column(k).to_pylist() for k in range(1, len(texts) + 1)]
             same, sk, packed, keys = [], [], [], []
             for parts in zip(*cols):
-                n = number.numbers(words("\n".join(p or "" for p in parts)))
+                n = number.numbers("\n".join(p or "" for p in parts))
                 d = np.unique(runs(n))
                 same.append(digest(d) if len(d) else None)
                 if same[-1] is None or same[-1] in seen:

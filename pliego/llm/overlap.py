@@ -1,8 +1,8 @@
 """Problem 1: records of evaluation splits that also stand, exactly or almost, in the training split.
 
 Evaluation texts are normalised to words, words to symbols, and passages of three words are taken from
-every evaluation text: its rarest ones, so many that a training text with the wanted likeness holds at
-least HITS of them.  Passages lie in shards of bounded size; each shard becomes an Aho-Corasick
+every evaluation text, drawn from its rarer ones, so that a training text with the wanted likeness holds
+some of them.  Passages lie in shards of bounded size; each shard becomes an Aho-Corasick
 automaton that scans all training texts once.  Matched intervals are merged into the coverage of the
 evaluation record, and pairs with enough matches get the exact likeness.
 """
@@ -20,14 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pliego.llm.spark import columns, prepare, scratch, stored
-from pliego.llm.words import LIKE, RUN, WordHash, digest, likeness, mix, runs, words
+from pliego.llm.words import LIKE, RUN, WordHash, digest, likeness, mix, runs
 
 #: Passages of one shard: bounds the automaton (some 100 MB) and what is broadcast.
 SHARD_PASSAGES = 600_000
 #: Buckets of the frequency sketch by which passages are ordered; any order keeps the result, a good one saves work.
 SKETCH = 1 << 18
-#: Passages that a pair must share; each one asked for lengthens the prefix by one.
-HITS = 6
+#: Passages of one text, the share of its runs (the rarest) they are drawn from, and how many of them a
+#: candidate holds.  A text of likeness 0.60 in the worst case, all its common runs being the frequent
+#: ones, holds 64 x 0.43 = 27 on average and fewer than 6 of them once in 10^9 times.
+PASSAGES, POOL, HITS = 64, 0.7, 6
 #: Symbols: code points without surrogates.
 LOW, HIGH, GAP = 0x21, 0x10FFFF, 0xD800
 
@@ -44,50 +46,45 @@ def canonical(text: str | None) -> str | None:
     if text is None:
         return None
     try:
-        value = json.loads(text, parse_int=_number, parse_float=_number, parse_constant=lambda c: ["const", c])
+        value = json.loads(text)
     except (ValueError, RecursionError):
         return None
     if value is None:
         return None
-    return hashlib.md5(repr(_plain(value)).encode()).hexdigest()
-
-
-class _Num(str):
-    pass
-
-
-def _number(text: str) -> _Num:
-    from decimal import Decimal
-
-    d = Decimal(text)
-    return _Num("0" if not d else str(d.normalize()))
+    return hashlib.md5(repr(_plain(value)).encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def _plain(v):
     if isinstance(v, dict):
-        return ("o", *sorted((k, _plain(x)) for k, x in v.items() if x is not None))
+        return {k: _plain(v[k]) for k in sorted(v) if v[k] is not None}
     if isinstance(v, list):
-        return ("l", *[_plain(x) for x in v])
-    if isinstance(v, _Num):
-        return ("n", str(v))
-    if isinstance(v, str):
-        return ("s", v)
-    return ("c", v)
+        return [_plain(x) for x in v]
+    if type(v) is int and abs(v) < 1 << 53:
+        return float(v)
+    return 0.0 if type(v) is float and v == 0 else v
 
 
-def needed(n: int) -> int:
-    """How many runs a text of n runs shares at least with one of likeness LIKE."""
-    return math.ceil(LIKE * n - 1e-9)
+def pool(n: int) -> int:
+    """How many of a text's n distinct runs, the rarest ones, passages are drawn from."""
+    return math.ceil(POOL * n)
 
 
-def prefix(distinct: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """Which of a text's distinct runs (places in the array) are looked for: its rarest by the sketch, ties by number.
+def wanted(n: int) -> int:
+    """How many of its passages a like text holds.  It shares LIKE * n runs or more, so it lacks at most
+    (1 - LIKE) * n; of a small pool all are passages and that bound is exact, of a larger one PASSAGES
+    are drawn by hash, of which at least (POOL - 1 + LIKE) / POOL, 43 in 100, are expected."""
+    if pool(n) <= PASSAGES:
+        return max(1, pool(n) - (n - math.ceil(LIKE * n - 1e-9)))
+    return HITS
 
-    A like text lacks at most n - needed(n) of them, so it holds min(HITS, needed(n)) of these.
-    """
-    n = len(distinct)
-    order = np.lexsort((distinct, sketch[(distinct % np.uint64(SKETCH)).astype(np.int64)]))
-    return order[: n - needed(n) + min(HITS, needed(n))]
+
+def passages(numbers: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """The places at which a text's passages begin: its rarest runs by the sketch, or PASSAGES of them by hash."""
+    distinct, first = np.unique(runs(numbers), return_index=True)
+    rare = np.lexsort((distinct, sketch[(distinct % np.uint64(SKETCH)).astype(np.int64)]))[: pool(len(distinct))]
+    if len(rare) > PASSAGES:
+        rare = rare[np.argsort(mix(distinct[rare]), kind="stable")[:PASSAGES]]
+    return first[rare]
 
 
 def normalised(df: DataFrame, key: str, split: str, text: str, doc: str) -> DataFrame:
@@ -98,7 +95,7 @@ def normalised(df: DataFrame, key: str, split: str, text: str, doc: str) -> Data
         for batch in batches:
             side, same, value, packed = [], [], [], []
             for s, t, j in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
-                n = number.numbers(words(t)) if t else np.zeros(0, np.uint32)
+                n = number.numbers(t) if t else np.zeros(0, np.uint32)
                 side.append(s != "train")
                 some = len(n) >= RUN
                 same.append(digest(np.unique(runs(n))) if some else None)
@@ -145,21 +142,33 @@ def overlap(df: DataFrame, key: str = "row_id", split: str = "split", text: str
     sketch[tallied.column("bucket").to_numpy()] = np.minimum(tallied.column("n").to_numpy(), 2**31 - 1)
     order = spark.sparkContext.broadcast(sketch)
 
-    # shards of about shard_passages passages, by digest
-    held = test.agg(F.sum(F.length("numbers") / 4 * (1 - LIKE) + HITS)).first()[0] or 0
-    shards = max(1, math.ceil(held / shard_passages))
-    distinct = test.groupBy("same").agg(F.first("numbers").alias("numbers")).withColumn("shard", F.pmod(F.xxhash64("same"), F.lit(shards)).cast("int"))
+    # shards of about shard_passages passages, by digest: one of the texts with that digest, its passages and its runs
+    held = test.agg(F.count(F.lit(1))).first()[0]
+    shards = max(1, math.ceil(held * PASSAGES / shard_passages))
+    one = test.groupBy("same").agg(F.first("numbers").alias("numbers"))
+
+    def cut(batches):
+        for batch in batches:
+            text, sets = [], []
+            for raw in batch.column(1).to_pylist():
+                n = np.frombuffer(raw, np.uint32)
+                s = symbols(n)
+                text.append("".join([s[p : p + RUN] for p in passages(n, order.value).tolist()]))
+                sets.append(runs(n).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array(sets, pa.binary())], names=["same", "passages", "runs"])
+
     shard_path = scratch(spark, "shards")
-    distinct.write.partitionBy("shard").option("compression", "zstd").parquet(shard_path)
-    sharded = spark.read.schema("same long, numbers binary, shard int").parquet(shard_path)
+    piece = one.mapInArrow(cut, "same long, passages string, runs binary").withColumn("shard", F.pmod(F.xxhash64("same"), F.lit(shards)).cast("int"))
+    piece.write.partitionBy("shard").option("compression", "zstd").parquet(shard_path)
+    sharded = spark.read.schema("same long, passages string, runs binary, shard int").parquet(shard_path)
 
     found_path = scratch(spark, "found")
     schema = "train long, eval long, likeness double, spans binary"
     train = some.filter("not eval").select("same", "numbers").coalesce(cores)
     for shard in range(shards if held else 0):
-        part = sharded.filter(F.col("shard") == shard).select("same", "numbers").toArrow()
-        payload = spark.sparkContext.broadcast((part.column("same").to_pylist(), part.column("numbers").to_pylist()))
-        train.mapInArrow(_scanner(payload, order, f"{found_path}/{shard}"), schema).write.mode("append").parquet(found_path)
+        part = sharded.filter(F.col("shard") == shard).select("same", "passages", "runs").toArrow()
+        payload = spark.sparkContext.broadcast(tuple(part.column(c).to_pylist() for c in ("same", "passages", "runs")))
+        train.mapInArrow(_scanner(payload, f"{found_path}/{shard}"), schema).write.mode("append").parquet(found_path)
         payload.destroy()
     order.destroy()
     found = spark.read.schema(schema).parquet(found_path) if held else spark.createDataFrame([], schema)
@@ -191,39 +200,31 @@ def _unspan(batches):
 _AUTOMATON: dict = {}
 
 
-def _automaton(payload, order, name: str):
+def _automaton(payload, name: str):
     """The shard's automaton; the worker keeps the one it used last."""
     if name not in _AUTOMATON:
         import ahocorasick
 
         _AUTOMATON.clear()
-        ids, packed = payload.value
-        machine, holders, sets, want = ahocorasick.Automaton(), {}, [], []
-        for k, raw in enumerate(packed):
-            numbers = np.frombuffer(raw, np.uint32)
-            text = symbols(numbers)
-            distinct, first = np.unique(runs(numbers), return_index=True)
-            sets.append(distinct)
-            want.append(min(HITS, needed(len(distinct))))
-            for place in first[prefix(distinct, order.value)].tolist():
-                passage = text[place : place + RUN]
-                if passage in holders:
-                    holders[passage].append(k)
-                else:
-                    holders[passage] = [k]
+        ids, texts, packed = payload.value
+        holders: dict[str, list[int]] = {}
+        for k, text in enumerate(texts):
+            for at in range(0, len(text), RUN):
+                holders.setdefault(text[at : at + RUN], []).append(k)
+        machine = ahocorasick.Automaton()
         for passage, who in holders.items():
             machine.add_word(passage, who)
         if holders:
             machine.make_automaton()
-        _AUTOMATON[name] = (machine, ids, sets, packed, want)
+        _AUTOMATON[name] = (machine, ids, packed, {})
     return _AUTOMATON[name]
 
 
-def _scanner(payload, order, name: str):
-    """Scans texts with one shard's automaton.  A text is a candidate for a record when it holds so many of its passages as every like text does."""
+def _scanner(payload, name: str):
+    """Scans texts with one shard's automaton.  A text that holds enough passages of a record is compared with it run by run."""
 
     def work(batches):
-        machine, ids, sets, packed, want = _automaton(payload, order, name)
+        machine, ids, packed, sets = _automaton(payload, name)
         done: set[int] = set()
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
@@ -238,9 +239,11 @@ def _scanner(payload, order, name: str):
                     seen.update(who)
                 mine = None
                 for k, hits in seen.items():
-                    if hits < want[k]:
+                    if hits < HITS and hits < wanted(len(packed[k]) // 8):
                         continue
                     mine = np.unique(runs(numbers)) if mine is None else mine
+                    if k not in sets:
+                        sets[k] = np.unique(np.frombuffer(packed[k], np.uint64))
                     like = likeness(mine, sets[k])
                     if like >= LIKE:
                         out[0].append(same), out[1].append(ids[k]), out[2].append(like), out[3].append(_spans(packed[k], mine))
@@ -250,9 +253,8 @@ def _scanner(payload, order, name: str):
 
 
 def _spans(raw: bytes, other: np.ndarray) -> bytes:
-    """Merged word intervals [from, to) of the text's passages that stand in `other`."""
-    numbers = np.frombuffer(raw, np.uint32)
-    at = np.flatnonzero(np.isin(runs(numbers), other))
+    """Merged word intervals [from, to) of the text's runs (in order) that stand in `other`."""
+    at = np.flatnonzero(np.isin(np.frombuffer(raw, np.uint64), other))
     if not len(at):
         return b""
     new = np.concatenate([[True], at[1:] > at[:-1] + RUN])

@@ -18,40 +18,55 @@ LIKE = 0.60
 
 def fold(text: str) -> str:
     """Compatibility decomposition without combining marks, in lower case."""
-    if text.isascii():
-        return text.lower()
-    text = unicodedata.normalize("NFKD", text)
     if not text.isascii():
-        text = "".join([c for c in text if not unicodedata.combining(c)]) if _marks.search(text) else text
+        text = "".join([c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)])
     return text.lower()
 
 
-#: Characters from which on combining marks lie; a text without them has none.
-_marks = re.compile("[\u0300-\U0010ffff]")
-
-
 def words(text: str) -> list[str]:
     """The folded words.  Letters and digits only: what decomposition leaves of marks or numerals stays out."""
     return WORD.findall(fold(text))
 
 
+#: What can't be parted by folding: ASCII letters and digits with whatever isn't ASCII among them.
+RAW = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+
+
 class WordHash:
-    """word -> 32-bit number, with a bounded cache."""
+    """The folded words of texts as 32-bit numbers.  Each raw run is folded once per cache, which is bounded."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 300_000):
         self.of: dict[str, int] = {}
+        self.many: list[list[int]] = []
         self.most = most
 
-    def numbers(self, found: list[str]) -> np.ndarray:
-        of = self.of
+    def _learn(self, raws: set[str]) -> None:
+        if len(self.of) > self.most:
+            self.of.clear()
+            self.many.clear()
+        for raw in raws:
+            numbers = [zlib.crc32(w.encode()) ^ (len(w) * 0x9E3779B1 & 0xFFFFFFFF) for w in words(raw)]
+            if len(numbers) == 1:
+                self.of[raw] = numbers[0]
+            else:
+                self.many.append(numbers)
+                self.of[raw] = -len(self.many)
+
+    def numbers(self, text: str) -> np.ndarray:
+        raws = RAW.findall(text)
         try:
-            return np.fromiter(map(of.__getitem__, found), np.uint32, len(found))
+            out = np.fromiter(map(self.of.__getitem__, raws), np.int64, len(raws))
         except KeyError:
-            if len(of) > self.most:
-                of.clear()
-            for w in set(found).difference(of):
-                of[w] = zlib.crc32(w.encode()) ^ (len(w) * 0x9E3779B1 & 0xFFFFFFFF)
-            return np.fromiter(map(of.__getitem__, found), np.uint32, len(found))
+            self._learn(set(raws).difference(self.of))
+            if any(r not in self.of for r in raws):  # the cache has just been emptied
+                self._learn(set(raws))
+            out = np.fromiter(map(self.of.__getitem__, raws), np.int64, len(raws))
+        if len(out) and out.min() < 0:
+            flat: list[int] = []
+            for n in out.tolist():
+                flat += [n] if n >= 0 else self.many[-n - 1]
+            out = np.array(flat, np.int64)
+        return out.astype(np.uint32)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
