@@ -1,6 +1,6 @@
 """Problem 1: records of evaluation splits that also stand, exactly or almost, in the training split.
 
-Evaluation texts are normalised to words, words to symbols, and passages of three words are taken from
+Evaluation texts are normalised to words, words to symbols, and passages of five words are taken from
 every evaluation text, drawn from its rarer ones, so that a training text with the wanted likeness holds
 some of them.  Passages lie in shards of bounded size; each shard becomes an Aho-Corasick
 automaton that scans all training texts once.  Matched intervals are merged into the coverage of the
@@ -26,10 +26,12 @@ from pliego.llm.words import LIKE, RUN, WordHash, digest, likeness, mix, runs
 SHARD_PASSAGES = 600_000
 #: Buckets of the frequency sketch by which passages are ordered; any order keeps the result, a good one saves work.
 SKETCH = 1 << 18
-#: Passages of one text, the share of its runs (the rarest) they are drawn from, and how many of them a
-#: candidate holds.  A text of likeness 0.60 in the worst case, all its common runs being the frequent
-#: ones, holds 64 x 0.43 = 27 on average and fewer than 6 of them once in 10^9 times.
-PASSAGES, POOL, HITS = 64, 0.7, 6
+#: Words of a passage; passages of one text; the share of its word runs of that length, the rarest, that they
+#: are drawn from; and how many of them a candidate holds.  Texts of likeness 0.60 have 3 in 4 of their
+#: three-word runs in common, or every twelfth word edited, which leaves 58 in 100 of the five-word runs:
+#: should these be the frequent ones, 30 in 100 of the pool and 19 of 64 passages; fewer than 5 come out
+#: of that once in a million times.
+PHRASE, PASSAGES, POOL, HITS = 5, 64, 0.6, 5
 #: Symbols: code points without surrogates.
 LOW, HIGH, GAP = 0x21, 0x10FFFF, 0xD800
 
@@ -64,27 +66,26 @@ def _plain(v):
     return 0.0 if type(v) is float and v == 0 else v
 
 
-def pool(n: int) -> int:
-    """How many of a text's n distinct runs, the rarest ones, passages are drawn from."""
-    return math.ceil(POOL * n)
+def phrases(numbers: np.ndarray) -> np.ndarray:
+    """A number for each run of PHRASE words, in order."""
+    r = runs(numbers)
+    return mix((r[: -(PHRASE - RUN)] * np.uint64(3)) ^ mix(r[PHRASE - RUN :])) if len(r) > PHRASE - RUN else np.zeros(0, np.uint64)
 
 
-def wanted(n: int) -> int:
-    """How many of its passages a like text holds.  It shares LIKE * n runs or more, so it lacks at most
-    (1 - LIKE) * n; of a small pool all are passages and that bound is exact, of a larger one PASSAGES
-    are drawn by hash, of which at least (POOL - 1 + LIKE) / POOL, 43 in 100, are expected."""
-    if pool(n) <= PASSAGES:
-        return max(1, pool(n) - (n - math.ceil(LIKE * n - 1e-9)))
-    return HITS
+def wanted(passages: int) -> int:
+    """How many of so many passages a like text holds."""
+    return HITS if passages >= PASSAGES else 1
 
 
-def passages(numbers: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The places at which a text's passages begin: its rarest runs by the sketch, or PASSAGES of them by hash."""
-    distinct, first = np.unique(runs(numbers), return_index=True)
-    rare = np.lexsort((distinct, sketch[(distinct % np.uint64(SKETCH)).astype(np.int64)]))[: pool(len(distinct))]
-    if len(rare) > PASSAGES:
-        rare = rare[np.argsort(mix(distinct[rare]), kind="stable")[:PASSAGES]]
-    return first[rare]
+def passages(numbers: np.ndarray, sketch: np.ndarray) -> list[tuple[int, int]]:
+    """[from, to) in words of a text's passages: PASSAGES of its rarer phrases, drawn by hash; all of its phrases if there are no more; the whole of a text that is shorter than a phrase."""
+    distinct, first = np.unique(phrases(numbers), return_index=True)
+    if not len(distinct):
+        return [(0, len(numbers))]
+    if len(distinct) > PASSAGES:
+        rare = np.lexsort((distinct, sketch[(distinct % np.uint64(SKETCH)).astype(np.int64)]))[: max(PASSAGES, math.ceil(POOL * len(distinct)))]
+        first = first[rare[np.argsort(mix(distinct[rare]), kind="stable")[:PASSAGES]]]
+    return [(p, p + PHRASE) for p in first.tolist()]
 
 
 def normalised(df: DataFrame, key: str, split: str, text: str, doc: str) -> DataFrame:
@@ -131,7 +132,7 @@ def overlap(df: DataFrame, key: str = "row_id", split: str = "split", text: str
         count = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for n in batch.column(0).to_pylist():
-                np.add.at(count, (np.unique(runs(np.frombuffer(n, np.uint32))) % np.uint64(SKETCH)).astype(np.int64), 1)
+                np.add.at(count, (np.unique(phrases(np.frombuffer(n, np.uint32))) % np.uint64(SKETCH)).astype(np.int64), 1)
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(count[at])], names=["bucket", "n"])
 
@@ -153,7 +154,7 @@ def overlap(df: DataFrame, key: str = "row_id", split: str = "split", text: str
             for raw in batch.column(1).to_pylist():
                 n = np.frombuffer(raw, np.uint32)
                 s = symbols(n)
-                text.append("".join([s[p : p + RUN] for p in passages(n, order.value).tolist()]))
+                text.append(" ".join([s[a:b] for a, b in passages(n, order.value)]))
                 sets.append(runs(n).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array(sets, pa.binary())], names=["same", "passages", "runs"])
 
@@ -209,14 +210,14 @@ def _automaton(payload, name: str):
         ids, texts, packed = payload.value
         holders: dict[str, list[int]] = {}
         for k, text in enumerate(texts):
-            for at in range(0, len(text), RUN):
-                holders.setdefault(text[at : at + RUN], []).append(k)
+            for passage in text.split(" "):
+                holders.setdefault(passage, []).append(k)
         machine = ahocorasick.Automaton()
         for passage, who in holders.items():
             machine.add_word(passage, who)
         if holders:
             machine.make_automaton()
-        _AUTOMATON[name] = (machine, ids, packed, {})
+        _AUTOMATON[name] = (machine, ids, packed, {}, [text.count(" ") + 1 for text in texts])
     return _AUTOMATON[name]
 
 
@@ -224,7 +225,7 @@ def _scanner(payload, name: str):
     """Scans texts with one shard's automaton.  A text that holds enough passages of a record is compared with it run by run."""
 
     def work(batches):
-        machine, ids, packed, sets = _automaton(payload, name)
+        machine, ids, packed, sets, counts = _automaton(payload, name)
         done: set[int] = set()
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
@@ -239,7 +240,7 @@ def _scanner(payload, name: str):
                     seen.update(who)
                 mine = None
                 for k, hits in seen.items():
-                    if hits < HITS and hits < wanted(len(packed[k]) // 8):
+                    if hits < HITS and hits < wanted(counts[k]):
                         continue
                     mine = np.unique(runs(numbers)) if mine is None else mine
                     if k not in sets:
