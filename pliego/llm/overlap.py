@@ -29,9 +29,9 @@ SKETCH = 1 << 18
 #: Words of a passage; passages of one text; the share of its word runs of that length, the rarest, that they
 #: are drawn from; and how many of them a candidate holds.  Texts of likeness 0.60 have 3 in 4 of their
 #: three-word runs in common, or every twelfth word edited, which leaves 58 in 100 of the five-word runs:
-#: should these be the frequent ones, 30 in 100 of the pool and 19 of 64 passages; fewer than 5 come out
-#: of that once in a million times.
-PHRASE, PASSAGES, POOL, HITS = 5, 64, 0.6, 5
+#: even if all of these were frequent ones, 30 in 100 of the pool and 14 of 48 passages, of which fewer
+#: than 4 come out 4 times in 10,000; with edits anywhere, 28 of 48, and never fewer than 4.
+PHRASE, PASSAGES, POOL, HITS = 5, 48, 0.6, 4
 #: Symbols: code points without surrogates.
 LOW, HIGH, GAP = 0x21, 0x10FFFF, 0xD800
 
@@ -208,16 +208,21 @@ def _automaton(payload, name: str):
 
         _AUTOMATON.clear()
         ids, texts, packed = payload.value
-        holders: dict[str, list[int]] = {}
-        for k, text in enumerate(texts):
-            for passage in text.split(" "):
-                holders.setdefault(passage, []).append(k)
-        machine = ahocorasick.Automaton()
-        for passage, who in holders.items():
-            machine.add_word(passage, who)
-        if holders:
+        flat = [passage for text in texts for passage in text.split(" ")]
+        counts = [text.count(" ") + 1 for text in texts]
+        first = dict(zip(reversed(flat), range(len(flat) - 1, -1, -1)))
+        owner = np.repeat(np.arange(len(texts)), counts).tolist()
+        more: dict[int, list[int]] = {}  # further texts with the passage that first stands at the key
+        if len(first) < len(flat):
+            for at, passage in enumerate(flat):
+                if (f := first[passage]) != at:
+                    more.setdefault(f, []).append(owner[at])
+        machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for passage, at in first.items():
+            machine.add_word(passage, at)
+        if flat:
             machine.make_automaton()
-        _AUTOMATON[name] = (machine, ids, packed, {}, [text.count(" ") + 1 for text in texts])
+        _AUTOMATON[name] = (machine, ids, packed, {}, counts, owner, more)
     return _AUTOMATON[name]
 
 
@@ -225,7 +230,7 @@ def _scanner(payload, name: str):
     """Scans texts with one shard's automaton.  A text that holds enough passages of a record is compared with it run by run."""
 
     def work(batches):
-        machine, ids, packed, sets, counts = _automaton(payload, name)
+        machine, ids, packed, sets, counts, owner, more = _automaton(payload, name)
         done: set[int] = set()
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
@@ -235,9 +240,10 @@ def _scanner(payload, name: str):
                 if len(done) < 200_000:
                     done.add(same)
                 numbers = np.frombuffer(raw, np.uint32)
-                seen: Counter = Counter()
-                for who in {id(w): w for _, w in machine.iter(symbols(numbers))}.values():
-                    seen.update(who)
+                found = {at for _, at in machine.iter(symbols(numbers))}
+                seen = Counter([owner[at] for at in found])
+                for at in found & more.keys():
+                    seen.update(more[at])
                 mine = None
                 for k, hits in seen.items():
                     if hits < HITS and hits < wanted(counts[k]):
