@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pliego.llm import budget, encode, neardup, overlap, pack
+from pliego.llm import budget, encode, neardup, overlap, pack, sentences
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -85,5 +85,13 @@ def p7_waste(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.waste(p7_packs(spark, sf_dir), CAPACITY)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_tokens, p2_budget, p4_found, p4_classes, p6_ids, p7_packs, p7_waste)}
+# -- problem 8 ------------------------------------------------------------------------------------
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentence units of every document."""
+    return sentences.sentences(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_tokens, p2_budget, p4_found, p4_classes, p6_ids, p7_packs, p7_waste, p8_found)}
 ORACLE_SQL: dict[str, str] = {}
