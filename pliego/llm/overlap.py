@@ -155,7 +155,7 @@ def overlap(df: DataFrame, key: str = "row_id", split: str = "split", text: str
                 n = np.frombuffer(raw, np.uint32)
                 s = symbols(n)
                 text.append(" ".join([s[a:b] for a, b in passages(n, order.value)]))
-                sets.append(runs(n).tobytes())
+                sets.append((runs(n) >> np.uint64(32)).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array(sets, pa.binary())], names=["same", "passages", "runs"])
 
     shard_path = scratch(spark, "shards")
@@ -248,9 +248,9 @@ def _scanner(payload, name: str):
                 for k, hits in seen.items():
                     if hits < HITS and hits < wanted(counts[k]):
                         continue
-                    mine = np.unique(runs(numbers)) if mine is None else mine
+                    mine = np.unique((runs(numbers) >> np.uint64(32)).astype(np.uint32)) if mine is None else mine
                     if k not in sets:
-                        sets[k] = np.unique(np.frombuffer(packed[k], np.uint64))
+                        sets[k] = np.unique(np.frombuffer(packed[k], np.uint32))
                     like = likeness(mine, sets[k])
                     if like >= LIKE:
                         out[0].append(same), out[1].append(ids[k]), out[2].append(like), out[3].append(_spans(packed[k], mine))
@@ -261,7 +261,7 @@ def _scanner(payload, name: str):
 
 def _spans(raw: bytes, other: np.ndarray) -> bytes:
     """Merged word intervals [from, to) of the text's runs (in order) that stand in `other`."""
-    at = np.flatnonzero(np.isin(np.frombuffer(raw, np.uint64), other))
+    at = np.flatnonzero(np.isin(np.frombuffer(raw, np.uint32), other))
     if not len(at):
         return b""
     new = np.concatenate([[True], at[1:] > at[:-1] + RUN])
