@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pliego.llm import budget, encode, neardup, overlap, pack, sentences
+from pliego.llm import budget, encode, neardup, overlap, pack, privacy, sentences
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -63,6 +63,19 @@ def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made["members"].join(ends, "same", "left").select("id", F.col("same").alias("clase"), F.coalesce("enlaces", F.lit(0)).alias("enlaces"))
 
 
+# -- problem 5 ------------------------------------------------------------------------------------
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal information in the texts of boe_documents."""
+    return privacy.personal_data(table(spark, sf_dir, "boe_documents"))
+
+
+def p5_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts with typed placeholders."""
+    return privacy.sanitised(table(spark, sf_dir, "boe_documents"))
+
+
 # -- problem 6 ------------------------------------------------------------------------------------
 
 
@@ -93,5 +106,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_tokens, p2_budget, p4_found, p4_classes, p6_ids, p7_packs, p7_waste, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_tokens, p2_budget, p4_found, p4_classes, p5_found, p5_text, p6_ids, p7_packs, p7_waste, p8_found)}
 ORACLE_SQL: dict[str, str] = {}
