@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pliego.llm import budget, encode, neardup, overlap, pack, privacy, sentences
+from pliego.llm import bodies, budget, encode, neardup, overlap, pack, privacy, sentences
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -48,6 +48,24 @@ def p2_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budget.token_budget(p2_tokens(spark, sf_dir))
 
 
+# -- problem 3 ------------------------------------------------------------------------------------
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = (("boe_documents", "departamento"), ("convocatoria", "organismo"), ("licitacion", "organo_contratacion"))
+    return bodies.names_of(*[(table(spark, sf_dir, t), f) for t, f in fields])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of spellings of one public body."""
+    return bodies.variant_pairs(_names(spark, sf_dir))
+
+
+def p3_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with its body."""
+    return bodies.linked(_names(spark, sf_dir))
+
+
 # -- problem 4 ------------------------------------------------------------------------------------
 
 
@@ -106,5 +124,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_tokens, p2_budget, p4_found, p4_classes, p5_found, p5_text, p6_ids, p7_packs, p7_waste, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_tokens, p2_budget, p3_found, p3_bodies, p4_found, p4_classes, p5_found, p5_text, p6_ids, p7_packs, p7_waste, p8_found)}
 ORACLE_SQL: dict[str, str] = {}
