@@ -1,0 +1 @@
+"""A Spark engine for gazette records: from XML to typed, validated, scored extractions."""
