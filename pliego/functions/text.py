@@ -55,7 +55,7 @@ def first_match(c: Column, values: dict[str, str]) -> Column:
 def title_case(c: Column) -> Column:
     """Every run of letters with a capital in front, the rest in lower case ("D'Art (Sevilla)")."""
     parts = F.regexp_extract_all(c, F.lit(r"(?U)\p{L}+|[^\p{L}]+"), F.lit(0))
-    return F.concat_ws("", F.transform(parts, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, 2, 100000)))))
+    return F.when(c.isNotNull(), F.concat_ws("", F.transform(parts, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, 2, 100000))))))
 
 
 #: Words that stay small inside a title (fixed values).
@@ -76,8 +76,8 @@ def format_string(c: Column) -> Column:
 
 
 def fold(c: Column) -> Column:
-    """Lower case without the accents of the Latin alphabet."""
-    return F.translate(F.lower(c), ACCENTED, PLAIN)
+    """Lower case without the accents of the Latin alphabet, joined or apart."""
+    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), r"\p{Mn}", "")
 
 
 def tokens(c: Column) -> Column:
