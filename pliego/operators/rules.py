@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pliego.functions.normalize import amount, date, deadline, number
-from pliego.functions.text import first_match, group, label_line, pattern, section, title_case, window_after
-from pliego.schemas import PAYLOAD
+from pliego.functions.text import first_match, group, label_line, section, title_case, window_after
 
 # -- fixed values ----------------------------------------------------------------------------------------
 BODY = r", (?:de|del) (?:la |el |los |las )?(.+?)(?: \([^)]*\))?, (?:por (?:la|el) que|referente)"
@@ -88,6 +87,3 @@ def extract(df: DataFrame) -> DataFrame:
     made = {"convocatoria": job_call(df.titulo, df.departamento, df.subtipo, text), "ayuda": grant(df.titulo, df.departamento, text), "licitacion": tender(df.titulo, df.departamento, text)}
     keep = {"ignoreNullFields": "false"}
     return df.select("id", "tipo", F.coalesce(*[F.when(df.tipo == k, F.to_json(v, keep)) for k, v in made.items()]).alias("json"))
-
-
-assert set(PAYLOAD) == {"convocatoria", "ayuda", "licitacion"} and pattern

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pliego.functions import normalize as N
@@ -462,10 +462,10 @@ def extract_rules(spark, d):
 # -- validation, conventions --------------------------------------------------------------------------------
 
 
-@query("SELECT tipo, error, count(*) AS n FROM etiquetas GROUP BY tipo, error")
+@query("SELECT tipo, valido, count(*) AS n FROM etiquetas GROUP BY tipo, valido")
 def validate_payload(spark, d):
     e = table(spark, d, "etiquetas")
-    return e.groupBy("tipo", errors(e.tipo, e.json).alias("error")).agg(F.count(F.lit(1)).alias("n"))
+    return e.groupBy("tipo", errors(e.tipo, e.json).isNull().alias("valido")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT id, json ->> 'organismo' AS organismo, len(json_keys(json))::INTEGER AS campos FROM etiquetas WHERE valido AND tipo <> 'licitacion'")
@@ -746,7 +746,3 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     found = C.classify(table(spark, d, "boe_sumario")).select("id", "tipo", "subtipo").distinct()
     x = found.join(docs(spark, d).select("id", "texto"), "id", "left")
     return x.groupBy("tipo", "subtipo").agg(F.count(F.lit(1)).alias("n"), F.count("texto").alias("con_texto"), F.round(F.sum(N.amount(F.col("texto"))), 2).alias("total_eur")).orderBy("tipo", "subtipo")
-
-
-def column_of(c: str) -> Column:
-    return F.col(c)
