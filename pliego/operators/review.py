@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pliego.plans.session import ship
+
 DISCARD, APPLIED = "descartar", ("aceptada", "convencion")
 
 
@@ -33,6 +35,7 @@ def apply_reviews(gold: DataFrame, reviews: DataFrame) -> DataFrame:
     gold: id, tipo, json, descartado; reviews: n, ids, cambios (JSON object), decision.  `revision` lists
     the numbers applied.  A discarded id is dropped by an anti join; each other id meets only its own reviews.
     """
+    ship(gold.sparkSession)
     each = reviews.select("n", "cambios", "decision", F.explode("ids").alias("id"))
     kept = gold.filter(~F.coalesce(F.col("descartado"), F.lit(False))).join(each.filter(F.col("decision") == DISCARD).select("id").distinct(), "id", "left_anti")
     todo = each.filter(F.col("decision").isin(*APPLIED)).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "cambios"))).alias("cambios"))

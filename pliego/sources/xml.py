@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pliego.functions.text import try_int
+from pliego.plans.session import ship
 
 S = T.StringType()
 _PDF = T.StructType([T.StructField(n, S) for n in ("_VALUE", "_szKBytes", "_pagina_inicial", "_pagina_final")])
@@ -79,6 +80,7 @@ def document_fields(xml: str | None) -> tuple[str | None, str | None, str | None
 
 def parse_documents(df: DataFrame, key: str, xml: str) -> DataFrame:
     """`key, rango, analisis, texto` of document XML (mixed content in order, which JVM-side readers don't keep)."""
+    ship(df.sparkSession)
 
     def work(batches):
         for batch in batches:
