@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pliego.plans.session import ship
+
 #: Rows and bytes of one Arrow batch handed to a Python worker.  Texts are a few KB each; a batch
 #: stays at some MB, so that two workers and the heap fit into a small executor.
 ARROW_ROWS = 2000
@@ -14,7 +16,8 @@ ARROW_BYTES = 16 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session."""
+    """Bound the Arrow batches of this session and give its workers the package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
