@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,11 +39,18 @@ IMPLIED = {("mancomunidad", "municipios"), ("diputacion", "provincial"), ("hospi
 #: A word in at most so many names may be a slip of one in ESTABLISHED or more; one in more only of a word in OFTEN.
 SLIP, ESTABLISHED, OFTEN = 2, 4, 40
 
+#: A form meets others by one token if no more names than ALONE have what it stands for, else by two if that makes no more
+#: than KEYS keys: this says what the meeting costs, not which forms meet.
+ALONE, KEYS = 40, 500
+
 #: Other spellings of a word.
 OTHERS: dict[str, list[str]] = {}
 for _short, _word in SAME.items():
     OTHERS.setdefault(_word, []).append(_short)
 
+#: Short words for several.
+LONGER = [w for w, long in SAME.items() if " " in long]
+
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -126,6 +134,42 @@ def cost(a: str, b: str, known: int) -> float | None:
     return None
 
 
+def weightless(a: str, known: int) -> bool:
+    """Whether `a` may be a slip of a word without weight."""
+    return known <= SLIP and any(min(reach(a), reach(w)) >= edits(a, w) for w in HONOURS)
+
+
+def beside(a: str, known: int) -> list[list[str]]:
+    """The words that `a` may be a slip for, of those that SAME writes out in several."""
+    return [SAME[w].split() for w in LONGER if known <= SLIP and min(reach(a), reach(w)) >= edits(a, w)]
+
+
+def short_keys(t: str, n: int) -> set[str]:
+    """Keys of a token that may stand for another; it shares one with each token it has a cost for."""
+    out = {"=" + t, *("=" + word for words in beside(t, n) for word in words)}
+    if len(t) <= 4:
+        out.add("s" + t)
+    elif len(t) <= 6:
+        out |= {"p" + t, "p" + t[:-1]}
+    if reach(t):
+        out |= {"d" + d for d in deletions(t, reach(t))}
+    if 4 <= len(t) <= 8:
+        out |= {"b" + d for d in deletions(t, 1)}
+    return out
+
+
+def full_keys(t: str) -> set[str]:
+    """Keys of a token that another may stand for."""
+    out = {"=" + t, *("p" + t[:n] for n in (4, 5, 6))}
+    out |= {"s" + t[0] + "".join(c) for n in range(4) for c in combinations(t[1:], n)}
+    for word in (t, *OTHERS.get(t, ())):
+        if reach(word):
+            out |= {"d" + d for d in deletions(word, reach(word))}
+    if len(t) > 4:
+        out |= {"b" + d for n in range(3, min(len(t), 9) + 1) for d in deletions(t[:n], 1)}
+    return out
+
+
 def assign(short: list[tuple[str, int]], full: list[str]) -> float | None:
     """Cost of the best assignment of all tokens of `short` to different tokens of `full`; what is left of `full` must be implied,
     or the second surname of a person.  None if there is none."""
@@ -150,12 +194,60 @@ def assign(short: list[tuple[str, int]], full: list[str]) -> float | None:
                 go(k + 1, left - {b}, total + c, solid + (c == 0.0 and len(a) > 3))
 
     # slips of words without weight, or of one that is written out beside it
-    idle = {k for k, (a, n) in enumerate(short) if n <= SLIP and any(min(reach(a), reach(w)) >= edits(a, w) for w in (*HONOURS, *[w for w, long in SAME.items() if " " in long and set(long.split()) <= set(full)]))}
+    idle = {k for k, (a, n) in enumerate(short) if weightless(a, n) or any(set(long) <= set(full) for long in beside(a, n))}
     if len(words) - len(idle) <= len(full) <= len(words) + 3:
         go(0, frozenset(full), 0.0, 0)
     return best[0] if best else None
 
 
+def candidates(ranked: DataFrame, known: DataFrame) -> DataFrame:
+    """`form, weight, ts, full, fullweight`: all pairs of forms that `assign` can have a cost for.
+
+    Every token of a form but a slip of a word without weight stands for a token of the other form, and two of them
+    for two.  So any token of it, or any two, will do to meet by: its keys are the tokens that the one stands for, or
+    the pairs of those of the two.  Those that the fewest names have are taken, two where one alone isn't rare.
+    """
+
+    def keyed(make):
+        def run(batches):
+            for batch in batches:
+                t, n, keys = [], [], []
+                for token, number in zip(*(c.to_pylist() for c in batch.columns)):
+                    for key in make(token, number):
+                        t.append(token), n.append(number), keys.append(key)
+                yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(n, pa.int64()), pa.array(keys, pa.string())], names=["t", "n", "key"])
+
+        return known.mapInArrow(run, "t string, n long, key string")
+
+    def stands(batches):
+        for batch in batches:
+            t, n, c, _ = (x.to_pylist() for x in batch.columns)
+            ok = [cost(x, y, k) is not None or any(y in long for long in beside(x, k)) for x, k, y in zip(t, n, c)]
+            free = [weightless(x, k) for x, k in zip(t, n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(free, pa.bool_())], names=["t", "n", "c", "cn", "free"]).filter(pa.array(ok, pa.bool_()))
+
+    a, b = keyed(short_keys).alias("a"), keyed(lambda t, n: full_keys(t)).alias("b")
+    met = a.join(b, F.col("a.key") == F.col("b.key")).select("a.t", "a.n", F.col("b.t").alias("c"), F.col("b.n").alias("cn")).distinct()
+    stand = stored(met.mapInArrow(stands, "t string, n long, c string, cn long, free boolean").groupBy("t").agg(F.sum("cn").alias("mass"), F.count(F.lit(1)).alias("kinds"), F.max("free").alias("free"), F.collect_list("c").alias("cs")), "stand")
+    # a form of nothing but possible slips without weight meets by each of them
+    chosen = ranked.select("form", "weight", "ts", F.explode(F.col("ts.t")).alias("t")).join(stand.select("t", "mass", "kinds", "free"), "t")
+    chosen = stored(chosen.groupBy("form", "weight", "ts").agg(F.array_sort(F.collect_list(F.struct("free", "mass", "t", "kinds"))).alias("by")), "chosen")
+    one, two = F.col("by")[0], F.get("by", F.lit(1))
+    both = F.coalesce((one["mass"] > ALONE) & ~two["free"] & (one["kinds"] * two["kinds"] <= KEYS), F.lit(False))
+    which = F.when(one["free"], F.col("by.t")).when(both, F.array(one["t"], two["t"])).otherwise(F.array(one["t"]))
+    picked = chosen.select("form", "weight", "ts", (both & ~one["free"]).alias("both"), which.alias("by"))
+    alone = picked.filter("not both").select("form", "weight", "ts", F.explode("by").alias("t")).join(stand.select("t", "cs"), "t").select("form", "weight", "ts", F.explode("cs").alias("key"))
+    x, y = stand.select(F.col("t").alias("t0"), F.col("cs").alias("xs")), stand.select(F.col("t").alias("t1"), F.col("cs").alias("ys"))
+    paired = picked.filter("both").select("form", "weight", "ts", F.col("by")[0].alias("t0"), F.col("by")[1].alias("t1")).join(x, "t0").join(y, "t1")
+    paired = paired.select("form", "weight", "ts", "ys", F.explode("xs").alias("x")).select("form", "weight", "ts", "x", F.explode("ys").alias("y")).filter("x != y")
+    short = alone.unionByName(paired.select("form", "weight", "ts", F.concat_ws(" ", F.least("x", "y"), F.greatest("x", "y")).alias("key")))
+    pair_keys = F.flatten(F.transform("form", lambda p: F.transform(F.filter("form", lambda q: q > p), lambda q: F.concat_ws(" ", p, q))))
+    full = ranked.select(F.col("form").alias("full"), F.col("weight").alias("fullweight"), F.explode(F.concat(pair_keys, F.col("form"))).alias("key"))
+    # assign takes no form of more than three tokens more
+    fits = (F.col("form") != F.col("full")) & (F.size("full") <= F.size("form") + 3)
+    return short.join(full, "key").filter(fits).dropDuplicates(["form", "full"]).select("form", "weight", "ts", "full", "fullweight")
+
+
 def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
     """`nombre, cuerpo` of every distinct name: names of one body share the value of `cuerpo`, the form of that body.
 
@@ -207,23 +299,7 @@ def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
     spelled = form.select("form", "weight", F.explode("form").alias("t")).join(known, "t")
     ranked = stored(spelled.groupBy("form", "weight").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("ts")), "ranked")
 
-    # A form meets those that share two of its four rarest long tokens, or words next to these; not two frequent
-    # ones, such as the kind of body and its district, that hundreds of bodies share: a form that fits shares its
-    # distinguishing word too, or one next to it.  Acronyms meet forms of their first letter.
-    common = max(40, forms.count() // 100)
-    n_of = known.select(F.col("t").alias("c"), F.col("n").alias("cn"))
-    long = F.slice(F.filter("ts", lambda x: F.length(x["t"]) > 3), 1, 4)
-    rare = ranked.select("form", "weight", "ts", F.posexplode(long).alias("at", "x")).select("form", "weight", "ts", "at", F.col("x.t").alias("c"), F.col("x.n").alias("cn"))
-    beside = near.select("t", "c").unionByName(near.select(F.col("c").alias("t"), F.col("t").alias("c"))).distinct().join(n_of, "c")
-    wide = rare.unionByName(rare.withColumnRenamed("c", "t").drop("cn").join(beside, "t").select("form", "weight", "ts", "at", "c", "cn"))
-    x, y = wide.alias("x"), wide.select("form", "at", "c", "cn").alias("y")
-    two = x.join(y, (F.col("x.form") == F.col("y.form")) & (F.col("x.at") < F.col("y.at")) & (F.least("x.cn", "y.cn") <= common))
-    short = two.select("x.form", "x.weight", "x.ts", F.concat_ws(" ", F.least("x.c", "y.c"), F.greatest("x.c", "y.c")).alias("key")).unionByName(ranked.filter(F.size(F.filter("ts", lambda x: F.length(x["t"]) > 3)) == 1).select("form", "weight", "ts", F.filter("ts", lambda x: F.length(x["t"]) > 3)[0]["t"].alias("key")))
-    # of short forms, whose other words may all be abbreviations, one word that isn't frequent will do
-    short = short.unionByName(wide.filter((F.size("form") <= 3) & (F.col("cn") <= common)).select("form", "weight", "ts", F.col("c").alias("key")))
-    pair_keys = F.flatten(F.transform("form", lambda p: F.transform(F.filter("form", lambda q: q > p), lambda q: F.concat_ws(" ", p, q))))
-    full = ranked.select(F.col("form").alias("full"), F.col("weight").alias("fullweight"), F.explode(F.concat(pair_keys, F.col("form"))).alias("key"))
-    pairs = short.join(full, "key").filter("form != full").dropDuplicates(["form", "full"]).select("form", "weight", "ts", "full", "fullweight")
+    pairs = candidates(ranked, known)
     single = ranked.filter((F.size("form") == 1) & F.length(F.col("form")[0]).between(3, 8)).select("form", "weight", "ts", F.substring(F.col("form")[0], 1, 1).alias("key"))
     order = made.join(forms, "nombre").groupBy("form").agg(F.min("nombre").alias("nombre"))
     several = ranked.filter(F.size("form") >= 3).join(order, "form").select(F.col("form").alias("full"), F.col("weight").alias("fullweight"), "nombre", F.explode(F.array_distinct(F.transform("form", lambda x: F.substring(x, 1, 1)))).alias("key"))

@@ -212,6 +212,33 @@ def test_bodies(spark):
     assert bodies.variant_pairs(df.limit(0)).count() == 0
 
 
+def made_up(r, n=10):
+    return "".join(r.choice("bdfghjklmnprstvz") + r.choice("aeiou") for _ in range(n // 2))
+
+
+def test_bodies_hot(spark):
+    """Words that more names have than any bound still bring spellings together."""
+    r = random.Random(3)
+    rest = "Aguas de Pelulleque de Pedratordo"
+    group = [f"{k} de {rest}" for k in ("Consorcio", "Cons.", "C.", "Consrocio")]
+    names = group + [f"{made_up(r).title()} de {rest}" for _ in range(50)]
+    got = rows(bodies.variant_pairs(spark.createDataFrame([(n,) for n in names], "nombre string")), "nombre_a", "nombre_b")
+    assert got == sorted(tuple(sorted((a, b))) for k, a in enumerate(group) for b in group[k + 1 :])
+
+
+def test_bodies_candidates(spark):
+    """No pair of forms that fits is left out, by comparing all."""
+    r = random.Random(4)
+    words = ["universidad", "univ", "univrsidad", "u", "unoversitat", "politecnica", "pol", "polit", "autoridad", "portuaria", "purrto", "rectoardo", "ap", "diputacion", "dip", "provincial", "mancomunidad", "mnac", "municipios", "lugo", "lgo", "pelulleque", "pelullque", "zarza"]
+    forms = sorted({tuple(sorted(r.sample(words, r.randint(1, 5)))) for _ in range(400)})
+    count = {w: r.choice([1, 2, 3, 50]) for w in words}
+    ranked = spark.createDataFrame([(list(f), 1, sorted((count[t], t) for t in f)) for f in forms], "form array<string>, weight long, ts array<struct<n long, t string>>")
+    known = spark.createDataFrame(list(count.items()), "t string, n long")
+    met = {(tuple(x.form), tuple(x.full)) for x in bodies.candidates(ranked, known).collect()}
+    fit = {(f, g) for f in forms for g in forms if f != g and bodies.assign([(t, count[t]) for t in f], list(g)) is not None}
+    assert len(fit) > 50 and fit <= met
+
+
 def test_edits():
     assert [bodies.edits(a, b) for a, b in (("ab", "ba"), ("abc", "ac"), ("abc", "abc"), ("", "ab"), ("kitten", "sitting"))] == [1, 1, 0, 2, 3]
     assert bodies.deletions("abc", 1) == {"abc", "bc", "ac", "ab"} and bodies.acronym("unisib", ["universidad", "internacional", "sierra", "baja"])
