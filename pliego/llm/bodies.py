@@ -38,6 +38,8 @@ SAME = {
 IMPLIED = {("mancomunidad", "municipios"), ("diputacion", "provincial"), ("hospital", "comarcal"), ("politecnica", "universidad")}
 #: A word in at most so many names may be a slip of one in ESTABLISHED or more; one in more only of a word in OFTEN.
 SLIP, ESTABLISHED, OFTEN = 2, 4, 40
+#: A word in more than SLIP names may be a slip of one in so many times as many.
+TIMES = 8
 
 #: A form meets others by one token if no more names than ALONE have what it stands for, else by two if that makes no more
 #: than KEYS keys: this says what the meeting costs, not which forms meet.
@@ -118,13 +120,18 @@ def acronym(a: str, words: list[str]) -> bool:
     return any((n == 1 or shortens(a[:n], words[0])) and acronym(a[n:], words[1:]) for n in range(1, min(4, len(a)) + 1))
 
 
-def cost(a: str, b: str, known: int) -> float | None:
-    """Of taking token `a`, found in `known` names, for token `b`; None if it can't be."""
+def slip(known: int, other: int) -> bool:
+    """Whether a word in `known` names is rare enough to be a slip of one in `other`."""
+    return known <= SLIP or other >= TIMES * known
+
+
+def cost(a: str, b: str, known: int, other: int) -> float | None:
+    """Of taking token `a`, found in `known` names, for token `b`, found in `other`; None if it can't be."""
     if a == b:
         return 0.0
     if len(a) <= 6 and shortens(a, b) and (len(a) <= 4 or b.startswith(a) or b[: len(a) - 1] == a[:-1]):
         return 0.3 if len(a) == 1 else 0.2
-    if known <= SLIP:
+    if slip(known, other):
         for word in (b, *OTHERS.get(b, ())):
             most = max(reach(a), reach(word)) if reach(a) and reach(word) else 0
             if most and abs(len(a) - len(word)) <= most and edits(a, word) <= most:
@@ -134,19 +141,19 @@ def cost(a: str, b: str, known: int) -> float | None:
     return None
 
 
-def weightless(a: str, known: int) -> bool:
-    """Whether `a` may be a slip of a word without weight."""
-    return known <= SLIP and any(min(reach(a), reach(w)) >= edits(a, w) for w in HONOURS)
+def weightless(a: str, known: int, honours: dict[str, int]) -> bool:
+    """Whether `a` may be a slip of a word without weight, of which `honours` names have each."""
+    return any(slip(known, honours.get(w, 0)) and min(reach(a), reach(w)) >= edits(a, w) for w in HONOURS)
 
 
-def beside(a: str, known: int) -> list[list[str]]:
+def written_out(a: str) -> list[list[str]]:
     """The words that `a` may be a slip for, of those that SAME writes out in several."""
-    return [SAME[w].split() for w in LONGER if known <= SLIP and min(reach(a), reach(w)) >= edits(a, w)]
+    return [SAME[w].split() for w in LONGER if min(reach(a), reach(w)) >= edits(a, w)]
 
 
-def short_keys(t: str, n: int) -> set[str]:
+def short_keys(t: str) -> set[str]:
     """Keys of a token that may stand for another; it shares one with each token it has a cost for."""
-    out = {"=" + t, *("=" + word for words in beside(t, n) for word in words)}
+    out = {"=" + t, *("=" + word for words in written_out(t) for word in words)}
     if len(t) <= 4:
         out.add("s" + t)
     elif len(t) <= 6:
@@ -170,38 +177,42 @@ def full_keys(t: str) -> set[str]:
     return out
 
 
-def assign(short: list[tuple[str, int]], full: list[str]) -> float | None:
+def assign(short: list[tuple[str, int]], full: list[tuple[str, int]], honours: dict[str, int]) -> float | None:
     """Cost of the best assignment of all tokens of `short` to different tokens of `full`; what is left of `full` must be implied,
     or the second surname of a person.  None if there is none."""
-    words = [t for t, _ in short]
+    counts = dict(full)
     best: list[float] = []
 
     def go(k: int, left: frozenset, total: float, solid: int) -> None:
         if best and total >= best[0]:
             return
         if k == len(short):
-            rest = [t for t in left if not any((w, t) in IMPLIED for w in full)]
-            if rest and not (len(rest) == 1 and "fundacion" in full and solid >= 3 and len(full) == len(short) + 1):
+            rest = [t for t in left if not any((w, t) in IMPLIED for w in counts)]
+            if rest and not (len(rest) == 1 and "fundacion" in counts and solid >= 3 and len(counts) == len(short) + 1):
                 return
             best[:] = [total + 0.1 * len(left) + 0.5 * len(rest)]
             return
         a, known = short[k]
         if k in idle:
             go(k + 1, left, total + 0.3, solid)
+        for long in several.get(k, ()):
+            if left.issuperset(long):
+                go(k + 1, left.difference(long), total + 0.5, solid)
         for b in left:
-            c = cost(a, b, known)
+            c = cost(a, b, known, counts[b])
             if c is not None:
                 go(k + 1, left - {b}, total + c, solid + (c == 0.0 and len(a) > 3))
 
-    # slips of words without weight, or of one that is written out beside it
-    idle = {k for k, (a, n) in enumerate(short) if weightless(a, n) or any(set(long) <= set(full) for long in beside(a, n))}
-    if len(words) - len(idle) <= len(full) <= len(words) + 3:
-        go(0, frozenset(full), 0.0, 0)
+    # slips of words for several, which may be written out beside them, and of words without weight
+    several = {k: [long for long in written_out(a) if all(w in counts and slip(n, counts[w]) for w in long)] for k, (a, n) in enumerate(short)}
+    idle = {k for k, (a, n) in enumerate(short) if several[k] or weightless(a, n, honours)}
+    if len(short) - len(idle) <= len(full) <= len(short) + 3:
+        go(0, frozenset(counts), 0.0, 0)
     return best[0] if best else None
 
 
-def candidates(ranked: DataFrame, known: DataFrame) -> DataFrame:
-    """`form, weight, ts, full, fullweight`: all pairs of forms that `assign` can have a cost for.
+def candidates(ranked: DataFrame, known: DataFrame, honours: dict[str, int]) -> DataFrame:
+    """`form, weight, ts, full, fullts, fullweight`: all pairs of forms that `assign` can have a cost for.
 
     Every token of a form but a slip of a word without weight stands for a token of the other form, and two of them
     for two.  So any token of it, or any two, will do to meet by: its keys are the tokens that the one stands for, or
@@ -213,7 +224,7 @@ def candidates(ranked: DataFrame, known: DataFrame) -> DataFrame:
             for batch in batches:
                 t, n, keys = [], [], []
                 for token, number in zip(*(c.to_pylist() for c in batch.columns)):
-                    for key in make(token, number):
+                    for key in make(token):
                         t.append(token), n.append(number), keys.append(key)
                 yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(n, pa.int64()), pa.array(keys, pa.string())], names=["t", "n", "key"])
 
@@ -221,12 +232,12 @@ def candidates(ranked: DataFrame, known: DataFrame) -> DataFrame:
 
     def stands(batches):
         for batch in batches:
-            t, n, c, _ = (x.to_pylist() for x in batch.columns)
-            ok = [cost(x, y, k) is not None or any(y in long for long in beside(x, k)) for x, k, y in zip(t, n, c)]
-            free = [weightless(x, k) for x, k in zip(t, n)]
+            t, n, c, cn = (x.to_pylist() for x in batch.columns)
+            ok = [cost(x, y, k, m) is not None or (slip(k, m) and any(y in long for long in written_out(x))) for x, k, y, m in zip(t, n, c, cn)]
+            free = [weightless(x, k, honours) for x, k in zip(t, n)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(free, pa.bool_())], names=["t", "n", "c", "cn", "free"]).filter(pa.array(ok, pa.bool_()))
 
-    a, b = keyed(short_keys).alias("a"), keyed(lambda t, n: full_keys(t)).alias("b")
+    a, b = keyed(short_keys).alias("a"), keyed(full_keys).alias("b")
     met = a.join(b, F.col("a.key") == F.col("b.key")).select("a.t", "a.n", F.col("b.t").alias("c"), F.col("b.n").alias("cn")).distinct()
     stand = stored(met.mapInArrow(stands, "t string, n long, c string, cn long, free boolean").groupBy("t").agg(F.sum("cn").alias("mass"), F.count(F.lit(1)).alias("kinds"), F.max("free").alias("free"), F.collect_list("c").alias("cs")), "stand")
     # a form of nothing but possible slips without weight meets by each of them
@@ -242,10 +253,10 @@ def candidates(ranked: DataFrame, known: DataFrame) -> DataFrame:
     paired = paired.select("form", "weight", "ts", "ys", F.explode("xs").alias("x")).select("form", "weight", "ts", "x", F.explode("ys").alias("y")).filter("x != y")
     short = alone.unionByName(paired.select("form", "weight", "ts", F.concat_ws(" ", F.least("x", "y"), F.greatest("x", "y")).alias("key")))
     pair_keys = F.flatten(F.transform("form", lambda p: F.transform(F.filter("form", lambda q: q > p), lambda q: F.concat_ws(" ", p, q))))
-    full = ranked.select(F.col("form").alias("full"), F.col("weight").alias("fullweight"), F.explode(F.concat(pair_keys, F.col("form"))).alias("key"))
+    full = ranked.select(F.col("form").alias("full"), F.col("ts").alias("fullts"), F.col("weight").alias("fullweight"), F.explode(F.concat(pair_keys, F.col("form"))).alias("key"))
     # assign takes no form of more than three tokens more
     fits = (F.col("form") != F.col("full")) & (F.size("full") <= F.size("form") + 3)
-    return short.join(full, "key").filter(fits).dropDuplicates(["form", "full"]).select("form", "weight", "ts", "full", "fullweight")
+    return short.join(full, "key").filter(fits).dropDuplicates(["form", "full"]).select("form", "weight", "ts", "full", "fullts", "fullweight")
 
 
 def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
@@ -259,11 +270,15 @@ def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
 
     def split(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([content(n) for n in batch.column(0).to_pylist()], pa.list_(pa.string()))], names=["nombre", "tokens"])
+            texts = batch.column(0).to_pylist()
+            kept = [[content(n) for n in texts], [sorted(set(tokens(n)).intersection(HONOURS)) for n in texts]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(k, pa.list_(pa.string())) for k in kept)], names=["nombre", "tokens", "honours"])
 
     times = F.sum("veces") if "veces" in names.columns else F.count(F.lit(1))
     distinct = stored(names.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("nombre")).agg(times.alias("veces")), "distinct")
-    made = stored(distinct.select("nombre").mapInArrow(split, "nombre string, tokens array<string>").filter(F.size("tokens") > 0), "names")
+    made = stored(distinct.select("nombre").mapInArrow(split, "nombre string, tokens array<string>, honours array<string>").filter(F.size("tokens") > 0), "names")
+
+    honours = {r.t: r.n for r in made.select(F.explode("honours").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     # slips: a rare token next to an established one is taken for that
     counted = stored(made.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")), "tokens")
@@ -299,17 +314,17 @@ def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
     spelled = form.select("form", "weight", F.explode("form").alias("t")).join(known, "t")
     ranked = stored(spelled.groupBy("form", "weight").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("ts")), "ranked")
 
-    pairs = candidates(ranked, known)
+    pairs = candidates(ranked, known, honours)
     single = ranked.filter((F.size("form") == 1) & F.length(F.col("form")[0]).between(3, 8)).select("form", "weight", "ts", F.substring(F.col("form")[0], 1, 1).alias("key"))
     order = made.join(forms, "nombre").groupBy("form").agg(F.min("nombre").alias("nombre"))
     several = ranked.filter(F.size("form") >= 3).join(order, "form").select(F.col("form").alias("full"), F.col("weight").alias("fullweight"), "nombre", F.explode(F.array_distinct(F.transform("form", lambda x: F.substring(x, 1, 1)))).alias("key"))
 
     def judged(batches):
         for batch in batches:
-            forms_, _, ts, full_, fw = (x.to_pylist() for x in batch.columns)
-            c = [assign([(x["t"], x["n"]) for x in t], f) for t, f in zip(ts, full_)]
+            ts, fullts = batch.column(2).to_pylist(), batch.column(4).to_pylist()
+            c = [assign([(x["t"], x["n"]) for x in t], [(x["t"], x["n"]) for x in f], honours) for t, f in zip(ts, fullts)]
             keep = [x is not None for x in c]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(4), pa.array(c, pa.float64())], names=["form", "full", "fullweight", "cost"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(5), pa.array(c, pa.float64())], names=["form", "full", "fullweight", "cost"]).filter(pa.array(keep, pa.bool_()))
 
     def spelled_out(batches):
         for batch in batches:
