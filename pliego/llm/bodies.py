@@ -259,6 +259,24 @@ def candidates(ranked: DataFrame, known: DataFrame, honours: dict[str, int]) ->
     return short.join(full, "key").filter(fits).dropDuplicates(["form", "full"]).select("form", "weight", "ts", "full", "fullts", "fullweight")
 
 
+def climbed(best: DataFrame) -> DataFrame:
+    """`form, root`: where the way from each form to the `full` it leads to, and on from there, ends; for a way that ends in
+    a circle the least form of that."""
+    steps, before = 1, None
+    way = best.select("form", F.col("full").alias("root"), F.least("form", "full").alias("least"))
+    while True:
+        way = stored(way, "climb")
+        going = way.join(best.select(F.col("form").alias("root")), "root", "left_semi").count()
+        # as many as at half the steps: all of them lead to circles, whose length is at most their number
+        if not going or (going == before and going <= steps):
+            break
+        on = way.select(F.col("form").alias("root"), F.col("root").alias("next"), F.col("least").alias("further"))
+        way = way.join(on, "root", "left").select("form", F.coalesce("next", "root").alias("root"), F.least("least", "further").alias("least"))
+        steps, before = 2 * steps, going
+    circle = way.select(F.col("form").alias("root"), F.col("least").alias("circle"))
+    return way.join(circle, "root", "left").select("form", F.coalesce("circle", "root").alias("root"))
+
+
 def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
     """`nombre, cuerpo` of every distinct name: names of one body share the value of `cuerpo`, the form of that body.
 
@@ -345,9 +363,7 @@ def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
     back = options.select(F.col("full").alias("form"), F.col("form").alias("full"), F.struct(F.col("cost"), -F.col("fullweight"), F.col("full")).alias("back"))
     up = options.join(back, ["form", "full"], "left").filter(F.col("back").isNull() | (F.struct(F.col("cost"), -F.col("fullweight"), F.col("full")) < F.col("back")))
     best = stored(up.withColumn("r", F.row_number().over(Window.partitionBy("form").orderBy("cost", F.desc("fullweight"), "full"))).filter("r = 1").select("form", "full"), "best")
-    roots = forms.select("nombre", "form")
-    for _ in range(4):  # abbreviated and shortened forms lead to longer ones in a few steps
-        roots = roots.join(best, "form", "left").select("nombre", F.coalesce("full", "form").alias("form"))
+    roots = forms.select("nombre", "form").join(climbed(best), "form", "left").select("nombre", F.coalesce("root", "form").alias("form"))
     return roots.select("nombre", F.array_join("form", " ").alias("cuerpo"))
 
 

@@ -251,6 +251,17 @@ def test_bodies_candidates(spark):
     assert len(fit) > 50 and fit <= met
 
 
+def test_bodies_chain(spark):
+    """Forms of one body that lead from one to the next in more than four steps, or in a circle, share its form."""
+    words = ["Consorcio", "Aguas", "Pelulleque", "Pedratordo", "Zarzamora", "Duroval", "Montesinos"]
+    names = [" ".join([w[:4] + "." for w in words[:k]] + words[k:]) for k in range(7)]
+    got = rows(bodies.variant_pairs(spark.createDataFrame([(n,) for n in names], "nombre string")), "nombre_a", "nombre_b")
+    assert got == sorted(tuple(sorted((a, b))) for k, a in enumerate(names) for b in names[k + 1 :])
+    way = {f"{k:02}": f"{k + 1:02}" for k in range(20)} | {"c": "d", "d": "e", "e": "c", "t": "u", "u": "e"}
+    best = spark.createDataFrame([([a], [b]) for a, b in way.items()], "form array<string>, full array<string>")
+    assert {r.form[0]: r.root[0] for r in bodies.climbed(best).collect()} == {k: "20" if k < "a" else "c" for k in way}
+
+
 def test_edits():
     assert [bodies.edits(a, b) for a, b in (("ab", "ba"), ("abc", "ac"), ("abc", "abc"), ("", "ab"), ("kitten", "sitting"))] == [1, 1, 0, 2, 3]
     assert bodies.deletions("abc", 1) == {"abc", "bc", "ac", "ab"} and bodies.acronym("unisib", ["universidad", "internacional", "sierra", "baja"])
