@@ -78,10 +78,11 @@ def wanted(passages: int) -> int:
 
 
 def passages(numbers: np.ndarray, sketch: np.ndarray) -> list[tuple[int, int]]:
-    """[from, to) in words of a text's passages: PASSAGES of its rarer phrases, drawn by hash; all of its phrases if there are no more; the whole of a text that is shorter than a phrase."""
+    """[from, to) in words of a text's passages: PASSAGES of its rarer phrases, drawn by hash; all of its phrases if there are no more; all runs of a text with fewer runs than PASSAGES, of which a like text holds one at least."""
+    short, at = np.unique(runs(numbers), return_index=True)
+    if len(short) < PASSAGES:
+        return [(p, p + RUN) for p in at.tolist()]
     distinct, first = np.unique(phrases(numbers), return_index=True)
-    if not len(distinct):
-        return [(0, len(numbers))]
     if len(distinct) > PASSAGES:
         rare = np.lexsort((distinct, sketch[(distinct % np.uint64(SKETCH)).astype(np.int64)]))[: max(PASSAGES, math.ceil(POOL * len(distinct)))]
         first = first[rare[np.argsort(mix(distinct[rare]), kind="stable")[:PASSAGES]]]

@@ -166,6 +166,14 @@ def test_overlap_against_brute_force(spark):
     assert overlap.overlap(df.limit(0))["pairs"].count() == 0
 
 
+def test_overlap_of_short_texts(spark):
+    """Texts that share runs of three words but no phrase of five."""
+    texts = [(1, "train", "alfa beta gamma delta"), (2, "test", "alfa beta gamma delta epsilon"), (3, "train", "uno dos tres cuatro cinco seis"), (4, "test", "dos tres cuatro cinco"), (5, "test", "alfa beta zeta eta theta")]
+    df = spark.createDataFrame([(*x, None) for x in texts], "row_id long, split string, texto string, json string")
+    want = [(a, b) for a, s, x in texts for b, t, y in texts if s == "train" and t == "test" and like(runs_of(x), runs_of(y)) >= LIKE]
+    assert want == [(1, 2)] and rows(overlap.overlap(df)["pairs"], "train", "eval") == want
+
+
 # -- problem 4 --------------------------------------------------------------------------------------------
 
 
