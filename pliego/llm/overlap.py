@@ -1,10 +1,14 @@
 """Problem 1: records of evaluation splits that also stand, exactly or almost, in the training split.
 
-Evaluation texts are normalised to words, words to symbols, and passages of five words are taken from
-every evaluation text, drawn from its rarer ones, so that a training text with the wanted likeness holds
-some of them.  Passages lie in shards of bounded size; each shard becomes an Aho-Corasick
-automaton that scans all training texts once.  Matched intervals are merged into the coverage of the
-evaluation record, and pairs with enough matches get the exact likeness.
+Texts are normalised to words and words to symbols.  The passages of an evaluation text are all its runs of
+three words, which are also what likeness counts.  Evaluation texts lie in shards of bounded size; each shard
+becomes an Aho-Corasick automaton of all its passages that scans all training texts once.  The matches are
+everything that is needed: the passages of a record found in a training text are the runs they have in common,
+so their number gives the likeness, and the intervals where they stand, merged, the coverage of the record.
+
+No pair is left out: two texts whose common runs are at least LIKE of the record's cannot miss more than the rest
+of them, so of any passages beyond that rest, `wanted` more, at least `wanted` are found.  Records are met by
+their passages that the fewest records of the shard have, that many, and only those met are counted in full.
 """
 
 from __future__ import annotations
@@ -12,35 +16,43 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections import Counter
+from decimal import Decimal
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pliego.llm.spark import columns, prepare, scratch, stored
-from pliego.llm.words import LIKE, RUN, WordHash, digest, likeness, mix, runs
+from pliego.llm.spark import columns, prepare, remove, scratch, stored
+from pliego.llm.words import LIKE, RUN, WordHash, digest, mix, runs
 
-#: Passages of one shard: bounds the automaton (some 100 MB) and what is broadcast.
-SHARD_PASSAGES = 600_000
-#: Buckets of the frequency sketch by which passages are ordered; any order keeps the result, a good one saves work.
-SKETCH = 1 << 18
-#: Words of a passage; passages of one text; the share of its word runs of that length, the rarest, that they
-#: are drawn from; and how many of them a candidate holds.  Texts of likeness 0.60 have 3 in 4 of their
-#: three-word runs in common, or every twelfth word edited, which leaves 58 in 100 of the five-word runs:
-#: even if all of these were frequent ones, 30 in 100 of the pool and 14 of 48 passages, of which fewer
-#: than 4 come out 4 times in 10,000; with edits anywhere, 28 of 48, and never fewer than 4.
-PHRASE, PASSAGES, POOL, HITS = 5, 48, 0.6, 4
-#: Symbols: code points without surrogates.
-LOW, HIGH, GAP = 0x21, 0x10FFFF, 0xD800
+#: Words of the records of one shard, of some 150 bytes each on a worker if no two passages are equal; a text with more
+#: is a shard of its own.
+SHARD_WORDS = 2_000_000
+#: Buckets of records per shard, which are put together to shards by their size.
+BUCKETS = 4
+#: Words scanned at once, and pairs of (text, record) gathered at once unless one text alone has more.
+BLOCK, GATHERED = 200_000, 2_000_000
+#: Bits of a word's symbol, and of the second of the two letters that stand for it.
+BITS, LAST = 21, 11
 
 
-def symbols(numbers: np.ndarray) -> str:
-    """One character for each word.  Words may share one; the exact check doesn't use them."""
-    code = (mix(numbers) % np.uint64(HIGH - LOW - 0x800)).astype(np.int64) + LOW
-    code = np.where(code >= GAP, code + 0x800, code)
-    return code.astype("<u4").tobytes().decode("utf-32-le")
+def symbols(numbers: np.ndarray) -> np.ndarray:
+    """A symbol of BITS bits for each word.  Words may share one of two millions; three in a row hardly do."""
+    return (mix(numbers) & np.uint64((1 << BITS) - 1)).astype(np.uint32)
+
+
+def letters(code: np.ndarray) -> str:
+    """Two letters for each symbol, of two alphabets, so that no node of an automaton has many children however many words there are, and none is matched from its second letter on."""
+    two = np.stack([(code >> np.uint32(LAST)) + np.uint32(0x100), (code & np.uint32((1 << LAST) - 1)) + np.uint32(0x800)], -1)
+    return two.astype("<u4").tobytes().decode("utf-32-le")
+
+
+def passages(code: np.ndarray) -> np.ndarray:
+    """One number for each run of three symbols, in order."""
+    c = code.astype(np.uint64)
+    return (c[:-2] << np.uint64(2 * BITS)) | (c[1:-1] << np.uint64(BITS)) | c[2:] if len(c) >= RUN else np.zeros(0, np.uint64)
 
 
 def canonical(text: str | None) -> str | None:
@@ -48,45 +60,41 @@ def canonical(text: str | None) -> str | None:
     if text is None:
         return None
     try:
-        value = json.loads(text)
-    except (ValueError, RecursionError):
+        value = json.loads(text, parse_int=number, parse_float=number)
+        if value is None:
+            return None
+        return hashlib.md5(repr(_plain(value)).encode("utf-8", "surrogatepass")).hexdigest()
+    except (ValueError, RecursionError, ArithmeticError):
         return None
-    if value is None:
-        return None
-    return hashlib.md5(repr(_plain(value)).encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def number(text: str):
+    """A JSON number by its exact value, however it is written: 12 and 12.0, 1e16 and 10000000000000000 are one."""
+    if len(text) < 16 and text.isdigit():
+        return int(text)
+    sign, digits, exponent = Decimal(text).as_tuple()
+    shown = "".join(map(str, digits)).lstrip("0")
+    kept = shown.rstrip("0")
+    exponent += len(shown) - len(kept)
+    if kept and exponent >= 0 and len(kept) + exponent < 16:
+        return (-1 if sign else 1) * int(kept) * 10**exponent
+    return ("number", sign, kept, exponent) if kept else 0
 
 
 def _plain(v):
     if isinstance(v, dict):
         return {k: _plain(v[k]) for k in sorted(v) if v[k] is not None}
-    if isinstance(v, list):
-        return [_plain(x) for x in v]
-    if type(v) is int and abs(v) < 1 << 53:
-        return float(v)
-    return 0.0 if type(v) is float and v == 0 else v
-
+    return [_plain(x) for x in v] if isinstance(v, list) else v
 
-def phrases(numbers: np.ndarray) -> np.ndarray:
-    """A number for each run of PHRASE words, in order."""
-    r = runs(numbers)
-    return mix((r[: -(PHRASE - RUN)] * np.uint64(3)) ^ mix(r[PHRASE - RUN :])) if len(r) > PHRASE - RUN else np.zeros(0, np.uint64)
 
+def wanted(distinct):
+    """How many of its rarest passages a record must be met by: a tenth, one at least; the more, the fewer records are counted in vain."""
+    return np.maximum(1, distinct // 10)
 
-def wanted(passages: int) -> int:
-    """How many of so many passages a like text holds."""
-    return HITS if passages >= PASSAGES else 1
 
-
-def passages(numbers: np.ndarray, sketch: np.ndarray) -> list[tuple[int, int]]:
-    """[from, to) in words of a text's passages: PASSAGES of its rarer phrases, drawn by hash; all of its phrases if there are no more; all runs of a text with fewer runs than PASSAGES, of which a like text holds one at least."""
-    short, at = np.unique(runs(numbers), return_index=True)
-    if len(short) < PASSAGES:
-        return [(p, p + RUN) for p in at.tolist()]
-    distinct, first = np.unique(phrases(numbers), return_index=True)
-    if len(distinct) > PASSAGES:
-        rare = np.lexsort((distinct, sketch[(distinct % np.uint64(SKETCH)).astype(np.int64)]))[: max(PASSAGES, math.ceil(POOL * len(distinct)))]
-        first = first[rare[np.argsort(mix(distinct[rare]), kind="stable")[:PASSAGES]]]
-    return [(p, p + PHRASE) for p in first.tolist()]
+def leading(distinct):
+    """How many passages that takes: what a like text may lack, and `wanted`."""
+    return distinct - np.ceil(LIKE * distinct - 1e-9).astype(np.int64) + wanted(distinct)
 
 
 def normalised(df: DataFrame, key: str, split: str, text: str, doc: str) -> DataFrame:
@@ -109,174 +117,238 @@ def normalised(df: DataFrame, key: str, split: str, text: str, doc: str) -> Data
     return rows.withColumn(key, F.col(key).cast("long")).mapInArrow(work, "row long, eval boolean, same long, value string, numbers binary")
 
 
-def overlap(df: DataFrame, key: str = "row_id", split: str = "split", text: str = "texto", doc: str = "json", shard_passages: int = SHARD_PASSAGES) -> dict[str, DataFrame]:
+def overlap(df: DataFrame, key: str = "row_id", split: str = "split", text: str = "texto", doc: str = "json", shard_words: int = SHARD_WORDS) -> dict[str, DataFrame]:
     """Cross-split overlaps of one table of records.
 
-    `pairs`: `train long, eval long, texto boolean, json boolean`, one row per pair of rows, one of
-    split train and one of validation or test, whose texts have a likeness of LIKE or more or whose
-    JSON values are equal.  `coverage`: `eval long, palabras int, cubiertas int` for evaluation rows
-    with such a text: its words, and those inside passages found in matching training texts.
+    `rows`: `row, eval, same, value`: the record, whether it is one of validation or test, the class of records with the same
+    set of runs, the digest of its JSON value.  `links`: `train, eval`: classes of like texts.  `coverage`: `same, palabras,
+    cubiertas` of every class of evaluation records with three words or more: its words, and those inside its passages found
+    in training texts that hold LIKE of its passages or more (so also in longer texts that aren't like it); 0 if there are none.
 
-    Texts with fewer than three words are like nothing; a null, unreadable or `null` JSON equals
-    nothing; rows of another or no split play no part; repeated rows are rows of their own.  Copies
-    (equal sets of runs) are known by their digest: one of them is scanned per task, one stands in a
-    shard, and all are joined back at the end, so a group of copies costs no more than its pairs.
-    The driver holds one shard and the frequency sketch at a time, both of bounded size.
+    Texts with fewer than three words are like nothing; a null, unreadable or `null` JSON equals nothing; rows of another or no
+    split play no part; repeated rows are rows of their own.  Copies (equal sets of runs) are known by their digest: one of
+    them is scanned per task, one stands in a shard, and `pairs` joins all of them back.  The driver holds one shard at a time.
     """
     spark = df.sparkSession
     prepare(spark)
     rows = stored(normalised(df, key, split, text, doc), "normalised")
     some = rows.filter("same is not null")
+    test = some.filter("eval").select("same", "numbers")
 
-    # how often runs stand in evaluation texts, by bucket; SKETCH rows at most
-    def tally(batches):
-        count = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            for n in batch.column(0).to_pylist():
-                np.add.at(count, (np.unique(phrases(np.frombuffer(n, np.uint32))) % np.uint64(SKETCH)).astype(np.int64), 1)
-        at = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(count[at])], names=["bucket", "n"])
-
-    cores = spark.sparkContext.defaultParallelism
-    test = some.filter("eval")
-    tallied = test.select("numbers").coalesce(cores).mapInArrow(tally, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    sketch = np.zeros(SKETCH, np.int32)
-    sketch[tallied.column("bucket").to_numpy()] = np.minimum(tallied.column("n").to_numpy(), 2**31 - 1)
-    order = spark.sparkContext.broadcast(sketch)
-
-    # shards of about shard_passages passages, by digest: one of the texts with that digest, its passages and its runs
-    held = test.agg(F.count(F.lit(1))).first()[0]
-    shards = max(1, math.ceil(held * PASSAGES / shard_passages))
-    one = test.groupBy("same").agg(F.first("numbers").alias("numbers"))
+    # shards of about shard_words words: one text of each class, as symbols
+    words = test.agg(F.coalesce(F.sum(F.length("numbers") / 4), F.lit(0))).first()[0]
+    buckets = BUCKETS * max(1, math.ceil(words / shard_words))
 
     def cut(batches):
         for batch in batches:
-            text, sets = [], []
-            for raw in batch.column(1).to_pylist():
-                n = np.frombuffer(raw, np.uint32)
-                s = symbols(n)
-                text.append(" ".join([s[a:b] for a, b in passages(n, order.value)]))
-                sets.append((runs(n) >> np.uint64(32)).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array(sets, pa.binary())], names=["same", "passages", "runs"])
+            code = [symbols(np.frombuffer(raw, np.uint32)) for raw in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(map(len, code), pa.int32())], names=["same", "code", "palabras"])
 
+    shape = "same long, code binary, palabras int, bucket int"
+    one = test.groupBy("same").agg(F.min("numbers").alias("numbers")).mapInArrow(cut, "same long, code binary, palabras int")
     shard_path = scratch(spark, "shards")
-    piece = one.mapInArrow(cut, "same long, passages string, runs binary").withColumn("shard", F.pmod(F.xxhash64("same"), F.lit(shards)).cast("int"))
-    piece.write.partitionBy("shard").option("compression", "zstd").parquet(shard_path)
-    sharded = spark.read.schema("same long, passages string, runs binary, shard int").parquet(shard_path)
+    one.withColumn("bucket", F.pmod(F.xxhash64("same"), F.lit(buckets)).cast("int")).repartition("bucket").write.partitionBy("bucket").option("compression", "zstd").parquet(shard_path)
+    sharded = spark.read.schema(shape).parquet(shard_path)
+    sizes = stored(sharded.select("same", "palabras", "bucket"), "sizes")
+    shards: list[list[int]] = []
+    room = 0
+    for bucket, n in sorted((r.bucket, r.n) for r in sizes.groupBy("bucket").agg(F.sum("palabras").alias("n")).collect()):
+        if n > room:
+            shards.append([])
+            room = shard_words
+        shards[-1].append(bucket)
+        room -= n
 
     found_path = scratch(spark, "found")
-    schema = "train long, eval long, likeness double, spans binary"
-    train = some.filter("not eval").select("same", "numbers").coalesce(cores)
-    for shard in range(shards if held else 0):
-        part = sharded.filter(F.col("shard") == shard).select("same", "passages", "runs").toArrow()
-        payload = spark.sparkContext.broadcast(tuple(part.column(c).to_pylist() for c in ("same", "passages", "runs")))
-        train.mapInArrow(_scanner(payload, f"{found_path}/{shard}"), schema).write.mode("append").parquet(found_path)
+    schema = "train long, eval long, at int, bits long"
+    train = some.filter("not eval").select("same", "numbers")
+    for shard in shards:
+        part = sharded.filter(F.col("bucket").isin(shard)).select("same", "code").toArrow()
+        payload = spark.sparkContext.broadcast((part.column("same").to_numpy(), part.column("code").to_pylist()))
+        train.mapInArrow(_scanner(payload, f"{found_path}/{shard[0]}"), schema).write.mode("append").parquet(found_path)
         payload.destroy()
-    order.destroy()
-    found = spark.read.schema(schema).parquet(found_path) if held else spark.createDataFrame([], schema)
+    remove(shard_path)
+    found = spark.read.schema(schema).parquet(found_path) if shards else spark.createDataFrame([], schema)
 
-    of = lambda side, name: some.filter("eval" if side else "not eval").select(F.col("same").alias(name), F.col("row").alias(name + "_row"))
-    alike = found.select("train", "eval").distinct().join(of(False, "train"), "train").join(of(True, "eval"), "eval")
-    alike = alike.select(F.col("train_row").alias("train"), F.col("eval_row").alias("eval"), F.lit(True).alias("texto"), F.lit(False).alias("json"))
-    valued = lambda side, name: rows.filter("value is not null").filter("eval" if side else "not eval").select("value", F.col("row").alias(name))
-    equal = valued(False, "train").join(valued(True, "eval"), "value").select("train", "eval", F.lit(False).alias("texto"), F.lit(True).alias("json"))
-    pairs = alike.unionByName(equal).groupBy("train", "eval").agg(F.max("texto").alias("texto"), F.max("json").alias("json"))
+    covered = found.filter("at is not null").groupBy("eval", "at").agg(F.bit_or("bits").alias("bits")).groupBy("eval").agg(F.sum(F.bit_count("bits")).cast("int").alias("cubiertas"))
+    coverage = sizes.join(covered.withColumnRenamed("eval", "same"), "same", "left").select("same", "palabras", F.coalesce("cubiertas", F.lit(0)).alias("cubiertas"))
+    return {"rows": rows.drop("numbers"), "links": found.filter("at is null").select("train", "eval").distinct(), "coverage": coverage}
 
-    covered = found.select("eval", "spans").mapInArrow(_unspan, "eval long, word int").distinct().groupBy("eval").agg(F.count(F.lit(1)).cast("int").alias("cubiertas"))
-    size = test.select(F.col("same").alias("eval"), F.col("row"), (F.length("numbers") / 4).cast("int").alias("palabras"))
-    coverage = size.join(covered, "eval").select(F.col("row").alias("eval"), "palabras", "cubiertas")
-    return {"pairs": pairs, "coverage": coverage}
 
+def pairs(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """`train, eval, texto, json`: one row per pair of rows, one of split train and one of validation or test, whose texts have a likeness of LIKE or more or whose JSON values are equal."""
+    side = lambda by, test, name, to: rows.filter(F.col(by).isNotNull() & (F.col("eval") == test)).select(F.col(by).alias(name), F.col("row").alias(to))
+    alike = links.join(side("same", False, "train", "t"), "train").join(side("same", True, "eval", "e"), "eval")
+    alike = alike.select(F.col("t").alias("train"), F.col("e").alias("eval"), F.lit(True).alias("texto"), F.lit(False).alias("json"))
+    equal = side("value", False, "value", "train").join(side("value", True, "value", "eval"), "value").select("train", "eval", F.lit(False).alias("texto"), F.lit(True).alias("json"))
+    return alike.unionByName(equal).groupBy("train", "eval").agg(F.max("texto").alias("texto"), F.max("json").alias("json"))
 
-def _unspan(batches):
-    """Each covered word of (eval, intervals)."""
-    for batch in batches:
-        keys, out = [], []
-        for e, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for a, b in np.frombuffer(s, np.int32).reshape(-1, 2):
-                keys += [e] * int(b - a)
-                out += range(a, b)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.int32())], names=["eval", "word"])
 
+def once(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
-_AUTOMATON: dict = {}
 
+class Shard:
+    """The automaton of one shard's passages, and which records have them."""
 
-def _automaton(payload, name: str):
-    """The shard's automaton; the worker keeps the one it used last."""
-    if name not in _AUTOMATON:
+    def __init__(self, ids: np.ndarray, codes: list[bytes]):
         import ahocorasick
 
-        _AUTOMATON.clear()
-        ids, texts, packed = payload.value
-        flat = [passage for text in texts for passage in text.split(" ")]
-        counts = [text.count(" ") + 1 for text in texts]
-        first = dict(zip(reversed(flat), range(len(flat) - 1, -1, -1)))
-        owner = np.repeat(np.arange(len(texts)), counts).tolist()
-        more: dict[int, list[int]] = {}  # further texts with the passage that first stands at the key
-        if len(first) < len(flat):
-            for at, passage in enumerate(flat):
-                if (f := first[passage]) != at:
-                    more.setdefault(f, []).append(owner[at])
-        machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for passage, at in first.items():
-            machine.add_word(passage, at)
-        if flat:
-            machine.make_automaton()
-        _AUTOMATON[name] = (machine, ids, packed, {}, counts, owner, more)
-    return _AUTOMATON[name]
+        self.ids = ids
+        runs_of = [passages(np.frombuffer(c, np.uint32)) for c in codes]
+        self.start = np.concatenate([[0], np.cumsum([len(r) for r in runs_of])]).astype(np.int64)
+        flat = np.concatenate([*runs_of, np.zeros(0, np.uint64)])
+        distinct = once(flat)
+        self.size, self.records = len(distinct), len(ids)
+        self.at = np.searchsorted(distinct, flat).astype(np.int32)  # the passages of each record, in order
+        owner = np.repeat(np.arange(self.records), np.diff(self.start))
+        held = once(owner * max(1, self.size) + self.at)
+        self.of, which = held // max(1, self.size), held % max(1, self.size)
+        self.which = which.astype(np.int32)  # those of each record, once each
+        self.first = np.searchsorted(self.of, np.arange(self.records + 1))
+        self.distinct = np.diff(self.first)
+        often = np.bincount(which, minlength=self.size)
+        order = np.lexsort((mix(which), often[which], self.of))
+        rank = np.arange(len(order)) - self.first[self.of[order]]
+        lead = order[rank < leading(self.distinct)[self.of[order]]]
+        lead = lead[np.argsort(which[lead], kind="stable")]
+        self.owner = self.of[lead].astype(np.int32)
+        self.owned = np.searchsorted(which[lead], np.arange(self.size + 1))
+        self.wanted = wanted(self.distinct)
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        mask = np.uint64((1 << BITS) - 1)
+        spelled = letters(np.stack([(distinct >> np.uint64(k * BITS)) & mask for k in (2, 1, 0)], 1).astype(np.uint32))
+        for k in range(self.size):
+            self.machine.add_word(spelled[2 * RUN * k : 2 * RUN * (k + 1)], k)
+        if self.size:
+            self.machine.make_automaton()
+        self.mask = np.zeros(self.size, bool)
+        self.covered: dict[int, np.ndarray] = {}
+
+    def met(self, text: np.ndarray, passage: np.ndarray):
+        """(text, record) pairs that meet, of the distinct (text, passage) matches sorted by text."""
+        number = self.owned[passage + 1] - self.owned[passage]
+        total = np.cumsum(number)
+        a = 0
+        while a < len(text):
+            b = max(int(np.searchsorted(total, (total[a - 1] if a else 0) + GATHERED, side="right")), a + 1)
+            b = int(np.searchsorted(text, text[b], side="left")) if b < len(text) and text[b] != text[a] else int(np.searchsorted(text, text[b - 1], side="right"))
+            n = number[a:b]
+            at = np.repeat(self.owned[passage[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            each = np.sort(np.repeat(text[a:b], n) * self.records + self.owner[at])
+            new = np.flatnonzero(np.diff(each, prepend=-1))
+            pair, hits = each[new], np.diff(new, append=len(each))
+            pair = pair[hits >= self.wanted[pair % self.records]]
+            yield from zip((pair // self.records).tolist(), (pair % self.records).tolist())
+            a = b
+
+    def scan(self, codes: list[np.ndarray]):
+        """(text, record) of the like ones among some training texts; notes what they cover."""
+        parted = " ".join([letters(c) for c in codes])
+        begin = np.concatenate([[0], np.cumsum([2 * len(c) + 1 for c in codes])])
+        match = np.fromiter(chain.from_iterable(self.machine.iter(parted)), np.int64).reshape(-1, 2)
+        found = once((np.searchsorted(begin, match[:, 0], side="right") - 1) * self.size + match[:, 1])
+        text, passage = found // self.size, found % self.size
+        of_text = np.searchsorted(text, np.arange(len(codes) + 1))
+        last = None
+        for t, record in self.met(text, passage):
+            mine = passage[of_text[t] : of_text[t + 1]]
+            if t != last:
+                if last is not None:
+                    self.mask[passage[of_text[last] : of_text[last + 1]]] = False
+                self.mask[mine] = True
+                last, size = t, len(once(passages(codes[t])))
+            distinct = int(self.distinct[record])
+            common = int(self.mask[self.which[self.first[record] : self.first[record + 1]]].sum())
+            if common >= LIKE * distinct - 1e-9:
+                self.cover(record)
+            if common / (size + distinct - common) >= LIKE:
+                yield t, record
+        if last is not None:
+            self.mask[passage[of_text[last] : of_text[last + 1]]] = False
+
+    def cover(self, record: int) -> None:
+        """Adds the intervals of the passages that have been found to what is covered of the record's words."""
+        if (word := self.covered.get(record)) is None:
+            word = self.covered[record] = np.zeros(int(self.start[record + 1] - self.start[record]) + RUN - 1, bool)
+        if not word.all():
+            at = np.flatnonzero(self.mask[self.at[self.start[record] : self.start[record + 1]]])
+            for k in range(RUN):
+                word[at + k] = True
+
+    def coverage(self):
+        """(record, place, 64 words as bits) of what has been covered, and forgets it."""
+        for record, word in self.covered.items():
+            bits = np.packbits(word, bitorder="little")
+            bits = np.concatenate([bits, np.zeros(-len(bits) % 8, np.uint8)]).view("<i8")
+            at = np.flatnonzero(bits)
+            yield record, at, bits[at]
+        self.covered.clear()
+
+
+_SHARD: dict[str, Shard] = {}
 
 
 def _scanner(payload, name: str):
-    """Scans texts with one shard's automaton.  A text that holds enough passages of a record is compared with it run by run."""
+    """Scans training texts with one shard's automaton, which the worker keeps until it gets another.  Rows are (class of training texts, class of evaluation texts), or, with a place, what is covered."""
 
     def work(batches):
-        machine, ids, packed, sets, counts, owner, more = _automaton(payload, name)
-        done: set[int] = set()
+        if name not in _SHARD:
+            _SHARD.clear()
+            _SHARD[name] = Shard(*payload.value)
+        shard = _SHARD[name]
+        shard.covered.clear()
+        done: set[int] = set()  # repeats work where there are more: the same links come out again
+
+        def scanned(same, codes):
+            for t, record in shard.scan(codes):
+                yield same[t], shard.ids[record]
+
+        def rows(train, evals, at=None, bits=None):
+            n = len(evals)
+            return pa.RecordBatch.from_arrays([pa.array(train, pa.int64()), pa.array(evals, pa.int64()), pa.array(at if at is not None else [None] * n, pa.int32()), pa.array(bits if bits is not None else [None] * n, pa.int64())], names=["train", "eval", "at", "bits"])
+
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for same, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if same in done or not len(machine):
+            links, same, codes, size = [], [], [], 0
+            for s, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if s in done or not shard.size:
                     continue
                 if len(done) < 200_000:
-                    done.add(same)
-                numbers = np.frombuffer(raw, np.uint32)
-                found = {at for _, at in machine.iter(symbols(numbers))}
-                seen = Counter([owner[at] for at in found])
-                for at in found & more.keys():
-                    seen.update(more[at])
-                mine = None
-                for k, hits in seen.items():
-                    if hits < HITS and hits < wanted(counts[k]):
-                        continue
-                    mine = np.unique((runs(numbers) >> np.uint64(32)).astype(np.uint32)) if mine is None else mine
-                    if k not in sets:
-                        sets[k] = np.unique(np.frombuffer(packed[k], np.uint32))
-                    like = likeness(mine, sets[k])
-                    if like >= LIKE:
-                        out[0].append(same), out[1].append(ids[k]), out[2].append(like), out[3].append(_spans(packed[k], mine))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.binary())], names=["train", "eval", "likeness", "spans"])
+                    done.add(s)
+                same.append(s), codes.append(symbols(np.frombuffer(raw, np.uint32)))
+                size += len(codes[-1])
+                if size > BLOCK:
+                    links += scanned(same, codes)
+                    same, codes, size = [], [], 0
+            if codes:
+                links += scanned(same, codes)
+            yield rows([a for a, _ in links], [b for _, b in links])
+        for record, at, bits in shard.coverage():
+            yield rows([None] * len(at), [shard.ids[record]] * len(at), at, bits)
 
     return work
 
 
-def _spans(raw: bytes, other: np.ndarray) -> bytes:
-    """Merged word intervals [from, to) of the text's runs (in order) that stand in `other`."""
-    at = np.flatnonzero(np.isin(np.frombuffer(raw, np.uint32), other))
-    if not len(at):
-        return b""
-    new = np.concatenate([[True], at[1:] > at[:-1] + RUN])
-    start = at[new]
-    end = np.concatenate([at[:-1][new[1:]], at[-1:]]) + RUN
-    return np.stack([start, end], 1).astype(np.int32).tobytes()
-
-
-def report(df: DataFrame, pairs: DataFrame, coverage: DataFrame, key: str = "row_id", split: str = "split", source: str = "etiqueta") -> DataFrame:
-    """Overlaps per evaluation split and source: its rows, those with an overlap by text, by JSON and by either, the pairs, and the mean share of words covered in rows with a like text."""
-    rows = columns(df, key, split, source).filter(F.col(split).isin("validation", "test")).select(F.col(key).cast("long").alias("eval"), F.col(split).alias("split"), F.col(source).alias("etiqueta"))
-    per = pairs.groupBy("eval").agg(F.count(F.lit(1)).alias("pares"), F.max("texto").alias("texto"), F.max("json").alias("json"))
-    joined = rows.join(per, "eval", "left").join(coverage, "eval", "left")
-    return joined.groupBy("split", "etiqueta").agg(
-        F.count(F.lit(1)).alias("filas"), F.count("pares").alias("solapadas"), F.count(F.when(F.col("texto"), 1)).alias("por_texto"), F.count(F.when(F.col("json"), 1)).alias("por_json"),
-        F.coalesce(F.sum("pares"), F.lit(0)).alias("pares"), F.round(F.avg(F.col("cubiertas") / F.col("palabras")), 6).alias("cobertura"),
+def report(df: DataFrame, rows: DataFrame, links: DataFrame, coverage: DataFrame, key: str = "row_id", split: str = "split", source: str = "etiqueta") -> DataFrame:
+    """Overlaps per evaluation split and source: its rows, those with an overlap by text, by JSON and by either, the pairs of rows, and the mean share of words covered in rows of three words or more.
+
+    Pairs are counted by the sizes of classes, never made: those by text, and by JSON, less those by both.
+    """
+    train = rows.filter("not eval").groupBy("same", "value").agg(F.count(F.lit(1)).alias("n"))
+    linked = links.join(train.withColumnRenamed("same", "train"), "train").groupBy("eval", "value").agg(F.sum("n").alias("n"))
+    by_text = linked.groupBy(F.col("eval").alias("same")).agg(F.sum("n").alias("n_texto"))
+    by_json = train.filter("value is not null").groupBy("value").agg(F.sum("n").alias("n_json"))
+    by_both = linked.filter("value is not null").select(F.col("eval").alias("same"), "value", F.col("n").alias("n_ambos"))
+    named = columns(df, key, split, source).filter(F.col(split).isin("validation", "test")).select(F.col(key).cast("long").alias("row"), F.col(split).alias("split"), F.col(source).alias("etiqueta"))
+    some = named.join(rows.filter("eval").select("row", "same", "value"), "row").groupBy("split", "etiqueta", "same", "value").agg(F.count(F.lit(1)).alias("m"))
+    some = some.join(by_text, "same", "left").join(by_json, "value", "left").join(by_both, ["same", "value"], "left").join(coverage, "same", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    n = zero("n_texto") + zero("n_json") - zero("n_ambos")
+    rows_if = lambda c: F.sum(F.when(c, F.col("m")).otherwise(0))
+    share = F.sum(F.col("m") * F.col("cubiertas") / F.col("palabras")) / F.sum(F.when(F.col("palabras").isNotNull(), F.col("m")))
+    return some.groupBy("split", "etiqueta").agg(
+        F.sum("m").alias("filas"), rows_if(n > 0).alias("solapadas"), rows_if(zero("n_texto") > 0).alias("por_texto"), rows_if(zero("n_json") > 0).alias("por_json"),
+        F.sum(F.col("m") * n).alias("pares"), F.round(share, 6).alias("cobertura"),
     )

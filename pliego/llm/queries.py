@@ -22,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of hf rows, one of train and one of validation or test, with like texts or equal JSON."""
-    pairs = overlap.overlap(table(spark, sf_dir, "hf"))["pairs"]
-    return pairs.select(F.least("train", "eval").alias("row_a"), F.greatest("train", "eval").alias("row_b"))
+    made = overlap.overlap(table(spark, sf_dir, "hf"))
+    return overlap.pairs(made["rows"], made["links"]).select(F.least("train", "eval").alias("row_a"), F.greatest("train", "eval").alias("row_b"))
 
 
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:

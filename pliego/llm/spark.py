@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -23,17 +24,38 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir.  Only a session within one machine (tests) gets one of
+    our own where it is unset; on a cluster a local folder would lose data, so that raises."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="pliego-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+_PATHS: dict[str, object] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A path for a new table in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path for a new table in the shared folder, which goes with the driver's process at the latest."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _PATHS:
+        atexit.register(lambda: remove(*_PATHS))
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _PATHS[path] = (where.getFileSystem(spark._jsc.hadoopConfiguration()), where)
+    return path
+
+
+def remove(*paths: str) -> None:
+    """Deletes tables that nothing will read any more."""
+    for path in paths:
+        if held := _PATHS.pop(path, None):
+            try:
+                held[0].delete(held[1], True)
+            except Exception:  # the session's JVM is gone
+                pass
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,7 +63,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     executor costs no recomputation."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables made by `stored`, once nothing reads them any more."""
+    remove(*[t._scratch for t in tables])
 
 
 def columns(df: DataFrame, *names: str) -> DataFrame:

@@ -157,21 +157,39 @@ def test_overlap_against_brute_force(spark):
                 js = a[3] and b[3] and a[3].startswith('{"a"') and b[3].startswith('{"a"') and float(re.search(r"-?\d+", a[3])[0]) == float(re.search(r"-?\d+", b[3])[0])
                 if text or js:
                     want.add((a[0], b[0], bool(text), bool(js)))
-    made = overlap.overlap(df, shard_passages=1500)
-    assert {tuple(x) for x in made["pairs"].select("train", "eval", "texto", "json").collect()} == want
-    cover = {x.eval: (x.palabras, x.cubiertas) for x in made["coverage"].collect()}
-    assert cover[3000] == (120, 120) and all(0 < c <= p for p, c in cover.values())
+    made = overlap.overlap(df, shard_words=1500)
+    assert {tuple(x) for x in overlap.pairs(made["rows"], made["links"]).select("train", "eval", "texto", "json").collect()} == want
+    cover = {x.row: (x.palabras, x.cubiertas) for x in made["rows"].filter("eval").join(made["coverage"], "same").collect()}
+    assert cover[3000] == (120, 120) and all(0 <= c <= p for p, c in cover.values()) and len(cover) == sum(a[1] in ("test", "validation") and len(runs_of(a[2] or "")) > 0 for a in data)
+    for e, train in [(a, [b for b in data if b[1] == "train" and b[2]]) for a in data if a[1] == "validation"]:
+        found = set().union(*[runs_of(e[2]) & runs_of(b[2]) for b in train if len(runs_of(e[2]) & runs_of(b[2])) >= LIKE * len(runs_of(e[2]))])
+        words = e[2].split()
+        assert cover[e[0]] == (len(words), len({k + j for k in range(len(words) - 2) if tuple(words[k : k + 3]) in found for j in range(3)}))
     report = overlap.report(df.withColumn("etiqueta", F.lit("e")), **made).collect()
-    assert sum(x.pares for x in report) == len(want)
-    assert overlap.overlap(df.limit(0))["pairs"].count() == 0
+    assert sum(x.pares for x in report) == len(want) and sum(x.solapadas for x in report) == len({e for _, e, _, _ in want})
+    assert sum(x.por_texto for x in report) == len({e for _, e, t, _ in want if t}) and sum(x.por_json for x in report) == len({e for _, e, _, j in want if j})
+    none = overlap.overlap(df.limit(0))
+    assert overlap.pairs(none["rows"], none["links"]).count() == 0 and overlap.report(df.limit(0).withColumn("etiqueta", F.lit("e")), **none).count() == 0
 
 
 def test_overlap_of_short_texts(spark):
-    """Texts that share runs of three words but no phrase of five."""
-    texts = [(1, "train", "alfa beta gamma delta"), (2, "test", "alfa beta gamma delta epsilon"), (3, "train", "uno dos tres cuatro cinco seis"), (4, "test", "dos tres cuatro cinco"), (5, "test", "alfa beta zeta eta theta")]
+    """Texts of three to twelve words against brute force, and one text inside a longer one."""
+    r = random.Random(8)
+    texts = [" ".join(r.choices("abcdefgh", k=r.randint(2, 12))) for _ in range(40)]
+    texts = [(k, "train", t) for k, t in enumerate(texts)] + [(100 + k, "test", " ".join((t.split() + ["z"])[r.randint(0, 1) :][: r.randint(2, 12)])) for k, t in enumerate(texts)]
+    texts += [(901, "train", "alfa beta gamma delta"), (902, "test", "alfa beta gamma delta epsilon"), (903, "train", " ".join(f"v{k}" for k in range(50))), (904, "test", "v7 v8 v9 v10 v11")]
     df = spark.createDataFrame([(*x, None) for x in texts], "row_id long, split string, texto string, json string")
-    want = [(a, b) for a, s, x in texts for b, t, y in texts if s == "train" and t == "test" and like(runs_of(x), runs_of(y)) >= LIKE]
-    assert want == [(1, 2)] and rows(overlap.overlap(df)["pairs"], "train", "eval") == want
+    want = sorted({(a, b) for a, s, x in texts for b, t, y in texts if s == "train" and t == "test" and like(runs_of(x), runs_of(y)) >= LIKE})
+    made = overlap.overlap(df, shard_words=60)
+    assert len(want) > 10 and rows(overlap.pairs(made["rows"], made["links"]), "train", "eval") == want
+    assert made["rows"].filter("row = 904").join(made["coverage"], "same").first().cubiertas == 5
+
+
+def test_json_by_value():
+    same = [['{"a": 12, "b": [1.50, null]}', '{ "b":[15e-1, null],"a":12.0, "c": null}'], ["1e16", "10000000000000000", "1.0E+16"], ["9007199254740993", "9007199254740993.0"], ["0", "-0.0", "0e9"], ['"\\u00e1"', '"á"'], ["9007199254740992"], ["true"], ["1"], ['"1"'], ["[]"], ["{}"], ["0.1"], ["0.10000000000000001"]]
+    keys = [{overlap.canonical(x) for x in group} for group in same]
+    assert all(len(k) == 1 and None not in k for k in keys) and len(set().union(*keys)) == len(same)
+    assert [overlap.canonical(x) for x in (None, "null", "{", "", "[" * 100_000)] == [None] * 5
 
 
 # -- problem 4 --------------------------------------------------------------------------------------------
