@@ -29,9 +29,9 @@ from pliego.llm.words import LIKE, RUN, WordHash, digest, mix, runs
 
 #: Words of the records of one shard, of some 150 bytes each on a worker if no two passages are equal; a text with more
 #: is a shard of its own.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 2_500_000
 #: Buckets of records per shard, which are put together to shards by their size.
-BUCKETS = 4
+BUCKETS = 16
 #: Words scanned at once, and pairs of (text, record) gathered at once unless one text alone has more.
 BLOCK, GATHERED = 200_000, 2_000_000
 #: Bits of a word's symbol, and of the second of the two letters that stand for it.
@@ -200,9 +200,13 @@ class Shard:
         runs_of = [passages(np.frombuffer(c, np.uint32)) for c in codes]
         self.start = np.concatenate([[0], np.cumsum([len(r) for r in runs_of])]).astype(np.int64)
         flat = np.concatenate([*runs_of, np.zeros(0, np.uint64)])
-        distinct = once(flat)
+        order = np.argsort(flat)
+        new = np.ones(len(flat), bool)
+        new[1:] = flat[order[1:]] != flat[order[:-1]]
+        distinct = flat[order[new]]
         self.size, self.records = len(distinct), len(ids)
-        self.at = np.searchsorted(distinct, flat).astype(np.int32)  # the passages of each record, in order
+        self.at = np.empty(len(flat), np.int32)  # the passages of each record, in order
+        self.at[order] = np.cumsum(new) - 1
         owner = np.repeat(np.arange(self.records), np.diff(self.start))
         held = once(owner * max(1, self.size) + self.at)
         self.of, which = held // max(1, self.size), held % max(1, self.size)
@@ -210,7 +214,7 @@ class Shard:
         self.first = np.searchsorted(self.of, np.arange(self.records + 1))
         self.distinct = np.diff(self.first)
         often = np.bincount(which, minlength=self.size)
-        order = np.lexsort((mix(which), often[which], self.of))
+        order = np.argsort((self.of.astype(np.uint64) << np.uint64(40)) | (np.minimum(often[which], (1 << 20) - 1).astype(np.uint64) << np.uint64(20)) | (mix(which) >> np.uint64(44)))
         rank = np.arange(len(order)) - self.first[self.of[order]]
         lead = order[rank < leading(self.distinct)[self.of[order]]]
         lead = lead[np.argsort(which[lead], kind="stable")]
