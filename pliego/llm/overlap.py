@@ -29,7 +29,7 @@ from pliego.llm.words import LIKE, RUN, WordHash, digest, mix, runs
 
 #: Words of the records of one shard, of some 150 bytes each on a worker if no two passages are equal; a text with more
 #: is a shard of its own.
-SHARD_WORDS = 2_500_000
+SHARD_WORDS = 3_000_000
 #: Buckets of records per shard, which are put together to shards by their size.
 BUCKETS = 16
 #: Words scanned at once, and pairs of (text, record) gathered at once unless one text alone has more.
@@ -88,8 +88,8 @@ def _plain(v):
 
 
 def wanted(distinct):
-    """How many of its rarest passages a record must be met by: a tenth, one at least; the more, the fewer records are counted in vain."""
-    return np.maximum(1, distinct // 10)
+    """How many of its rarest passages a record must be met by: a sixteenth, one at least; the more, the fewer records are counted in vain."""
+    return np.maximum(1, distinct // 16)
 
 
 def leading(distinct):
@@ -108,7 +108,7 @@ def normalised(df: DataFrame, key: str, split: str, text: str, doc: str) -> Data
                 n = number.numbers(t) if t else np.zeros(0, np.uint32)
                 side.append(s != "train")
                 some = len(n) >= RUN
-                same.append(digest(np.unique(runs(n))) if some else None)
+                same.append(digest(once(runs(n))) if some else None)
                 packed.append(n.tobytes() if some else None)
                 value.append(canonical(j))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(side, pa.bool_()), pa.array(same, pa.int64()), pa.array(value, pa.string()), pa.array(packed, pa.binary())], names=["row", "eval", "same", "value", "numbers"])
@@ -206,7 +206,7 @@ class Shard:
         distinct = flat[order[new]]
         self.size, self.records = len(distinct), len(ids)
         self.at = np.empty(len(flat), np.int32)  # the passages of each record, in order
-        self.at[order] = np.cumsum(new) - 1
+        self.at[order] = np.cumsum(new, dtype=np.int32) - 1
         owner = np.repeat(np.arange(self.records), np.diff(self.start))
         held = once(owner * max(1, self.size) + self.at)
         self.of, which = held // max(1, self.size), held % max(1, self.size)
@@ -253,9 +253,10 @@ class Shard:
         parted = " ".join([letters(c) for c in codes])
         begin = np.concatenate([[0], np.cumsum([2 * len(c) + 1 for c in codes])])
         match = np.fromiter(chain.from_iterable(self.machine.iter(parted)), np.int64).reshape(-1, 2)
-        found = once((np.searchsorted(begin, match[:, 0], side="right") - 1) * self.size + match[:, 1])
-        text, passage = found // self.size, found % self.size
-        of_text = np.searchsorted(text, np.arange(len(codes) + 1))
+        of_text = np.searchsorted(match[:, 0], begin)
+        each = [once(match[a:b, 1]) for a, b in zip(of_text[:-1], of_text[1:])]
+        of_text = np.cumsum([0, *map(len, each)])
+        text, passage = np.repeat(np.arange(len(each)), np.diff(of_text)), np.concatenate(each)
         last = None
         for t, record in self.met(text, passage):
             mine = passage[of_text[t] : of_text[t + 1]]
