@@ -1,11 +1,12 @@
 """Problem 4: groups of records that differ by small edits, by pigeonring filtering over sketches.
 
-A record's set of word runs becomes a sketch of M minimum hashes, whose Hamming distance to another
-sketch estimates how unlike the two sets are.  The sketch lies on a ring of SEGMENTS segments.  Two
-records within TAU differences have chains of consecutive segments along the ring whose differences,
-summed from the chain's first segment on, never exceed the share of TAU that falls to so many segments.
-Equal segments bring records together; a candidate must then pass the chain test, over CHAIN segments
-that travel with the key, before its whole sketch is compared and, at last, the sets themselves.
+A record's set of word runs becomes a sketch of M minimum hashes, whose Hamming distance to another sketch
+estimates how unlike the two sets are.  The sketch lies on a ring, cut into segments of WIDTH symbols.  Two
+records within TAU differences have chains of consecutive segments along the ring whose differences, summed
+from the chain's first segment on, never exceed the share of TAU that falls to so many segments.  The first
+segment of a chain is one where both are equal, at any multiple of STEP symbols (so the ring is cut in WIDTH /
+STEP ways): there records meet in a join, in which the chain test runs over CHAIN segments that travel with the
+key.  What passes is compared by its whole sketch, and what is within TAU by the sets themselves.
 """
 
 from __future__ import annotations
@@ -15,17 +16,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pliego.llm.spark import columns, prepare, stored
+from pliego.llm.spark import columns, drop, prepare, stored
 from pliego.llm.words import LIKE, WordHash, digest, likeness, mix, runs
 
-#: Symbols of a sketch, segments on the ring, symbols of one segment.
-M, SEGMENTS = 128, 32
-WIDTH = M // SEGMENTS
-#: Most differing symbols between two sketches.  A pair of likeness 0.60 differs in 51 on average (deviation 5.6), so half of the symbols leaves out fewer than one in a hundred of those, and of likeness 0.67 one in fifty thousand.
-TAU = 64
-#: Segments after the equal one that travel with a key, in two longs of two segments each.
-CHAIN = 4
-#: Bits of the bitmap of classes that met another: 8 MB, whatever the data.
+#: Symbols of a sketch, of one segment, and from one place where a chain may start to the next.
+M, WIDTH, STEP = 128, 4, 2
+SEGMENTS, STARTS = M // WIDTH, M // STEP
+#: Most differing symbols between two sketches.  A pair of likeness 0.60 differs in 51 on average (deviation 5.5), so one in ten thousand of those goes beyond.
+TAU = 72
+#: Segments after the equal one that travel with a key, in longs of LONG segments, four bits a symbol (of which one in 16 that differs looks equal).
+CHAIN, LONG = 8, 4
+#: Bits of the bitmap of records to read again: 8 MB, whatever the data.
 BITS = 1 << 26
 
 
@@ -50,66 +51,71 @@ def sketch(distinct: np.ndarray) -> np.ndarray:
     return low
 
 
-def pack_runs(distinct: np.ndarray) -> bytes:
-    """The runs' high 24 bits, sorted, as differences by byte plane (the high ones are nearly all 0, and compress)."""
-    v = np.unique((distinct >> np.uint64(40)).astype(np.uint32))
-    d = np.diff(v, prepend=np.uint32(0))
-    return b"".join(((d >> np.uint32(s)) & np.uint32(255)).astype(np.uint8).tobytes() for s in (16, 8, 0))
-
-
-def unpack_runs(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(3, -1).astype(np.uint32)
-    return np.cumsum((planes[0] << np.uint32(16)) | (planes[1] << np.uint32(8)) | planes[2], dtype=np.uint32)
-
-
-def segment_keys(s: np.ndarray) -> np.ndarray:
-    """A number for each segment of a sketch: its symbols and its place."""
-    k = mix((s[0::4].astype(np.uint64) << np.uint64(32)) | s[1::4]) ^ (mix((s[2::4].astype(np.uint64) << np.uint64(32)) | s[3::4]) * np.uint64(3))
-    return mix(k + np.arange(SEGMENTS, dtype=np.uint64)).astype(np.int64)
+def band(sk: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sketches (rows of M symbols of 16 bits) a key for each place where a chain may start, and the segments after it as longs."""
+    ring = np.concatenate([sk, sk[:, : (CHAIN + 1) * WIDTH]], 1).astype(np.uint64)
+    at = np.arange(STARTS)[:, None] * STEP
+    first = ring[:, at + np.arange(WIDTH)]
+    key = np.zeros(first.shape[:2], np.uint64)
+    for k in range(WIDTH):
+        key = (key << np.uint64(16)) | first[:, :, k]
+    key = mix(key + np.arange(STARTS, dtype=np.uint64))
+    after = ring[:, at + WIDTH + np.arange(CHAIN * WIDTH)] & np.uint64(15)
+    chain = np.zeros((*first.shape[:2], CHAIN // LONG), np.uint64)
+    for k in range(LONG * WIDTH):
+        chain = (chain << np.uint64(4)) | after[:, :, k :: LONG * WIDTH]
+    return key.astype(np.int64), chain.astype(np.int64)
 
 
 def sketches(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
     """`key, same` of every row, `same` being the digest of its set of runs (null below three words);
-    and once per digest and task `sk`, the sketch's low bytes, `runs`, and `keys`, a number per segment."""
+    and once per digest and task `sk`, the sketch's symbols by 16 bits."""
 
     def work(batches):
         number, seen = WordHash(), set()
         for batch in batches:
             cols = [batch.column(k).to_pylist() for k in range(1, len(texts) + 1)]
-            same, sk, packed, keys = [], [], [], []
+            same, sk = [], []
             for parts in zip(*cols):
-                n = number.numbers("\n".join(p or "" for p in parts))
-                d = np.unique(runs(n))
+                d = distinct_runs(number, parts)
                 same.append(digest(d) if len(d) else None)
                 if same[-1] is None or same[-1] in seen:
-                    sk.append(None), packed.append(None), keys.append(None)
+                    sk.append(None)
                     continue
-                if len(seen) < 200_000:
+                if len(seen) < 200_000:  # repeats work where there are more
                     seen.add(same[-1])
-                s = sketch(d)
-                sk.append((s & np.uint32(255)).astype(np.uint8).tobytes())
-                packed.append(pack_runs(d))
-                keys.append(segment_keys(s))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.int64()), pa.array(sk, pa.binary()), pa.array(packed, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=[key, "same", "sk", "runs", "keys"])
+                sk.append(sketch(d).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.int64()), pa.array(sk, pa.binary())], names=[key, "same", "sk"])
 
-    return columns(df, key, *texts).mapInArrow(work, f"{key} {df.schema[key].dataType.simpleString()}, same long, sk binary, runs binary, keys array<bigint>")
+    return columns(df, key, *texts).mapInArrow(work, f"{key} {df.schema[key].dataType.simpleString()}, same long, sk binary")
+
+
+def distinct_runs(number: WordHash, parts: tuple) -> np.ndarray:
+    """The distinct runs, sorted, of texts joined by line breaks; nulls are empty."""
+    d = np.sort(runs(number.numbers("\n".join(p or "" for p in parts))))
+    return d[np.concatenate([[True], d[1:] != d[:-1]])] if len(d) else d
 
 
 def differing(x: Column) -> Column:
-    """How many of a long's bytes aren't 0."""
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 4))
+    """How many of a long's groups of four bits aren't 0."""
     x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
     x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def chained(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """The chain test: prefixes of 3, 4 and 5 segments, the first of which is equal, within their share of TAU.  (Of two segments it always holds at this TAU.)"""
-    share = TAU / SEGMENTS
-    x, y = a.bitwiseXOR(c), b.bitwiseXOR(d)
-    first = differing(x)
-    third = first + differing(F.shiftrightunsigned(y, 32))
-    return (first <= int(3 * share)) & (third <= int(4 * share)) & (first + differing(y) <= int(5 * share))
+def chained(a: list[Column], b: list[Column]) -> Column:
+    """The chain test: each prefix of the chain, the first segment of which is equal, is within its share of TAU."""
+    ok, before = None, F.lit(0)
+    for k, (x, y) in enumerate(zip(a, b)):
+        x = x.bitwiseXOR(y)
+        for j in range(1, LONG + 1):
+            share = (k * LONG + j + 1) * TAU // SEGMENTS
+            if share >= (k * LONG + j) * WIDTH:
+                continue  # so many can't differ
+            number = before + differing(F.shiftrightunsigned(x, 4 * WIDTH * (LONG - j)) if j < LONG else x)
+            ok = number <= share if ok is None else ok & (number <= share)
+        before = before + differing(x)
+    return ok
 
 
 def bitmap(df: DataFrame, col: str) -> np.ndarray:
@@ -130,52 +136,76 @@ def near_duplicates(df: DataFrame, key: str = "id", titulo: str = "titulo", text
 
     Records without a key or with a blank text play no part; rows of one key count once (by their
     least class, should they differ); a text of fewer than three words is like nothing; a null title
-    is empty.  Segments meet with a probability of 1 - (1 - J^4)^32 for a pair of likeness J: 0.988 at
-    0.60, 0.999 at 0.67, above 0.9999 from 0.72 on.
+    is empty.  The only loss is that of the sketch: a pair of likeness 0.60 is missed with a probability
+    of 0.001, of 0.62 of 0.0004, of 0.65 of 0.0001 (equal segment, chain and TAU together).
     """
     spark = df.sparkSession
     prepare(spark)
     rows = columns(df, key, titulo, texto).filter(F.col(key).isNotNull() & F.col(texto).rlike(r"(?U)\S"))
     made = stored(sketches(rows, key, [titulo, texto]), "sketches")
-    members = made.filter("same is not null").groupBy(key).agg(F.min("same").alias("same"))
+    members = stored(made.filter("same is not null").groupBy(key).agg(F.min("same").alias("same")), "members")
 
-    # segments, once per class: copies are gone within tasks already, the rest goes where the segments meet
-    long = lambda k: F.conv(F.hex(F.substring("ring", k, 8)), 16, -10).cast("long")
-    band = made.filter("keys is not null").select("same", F.expr("sk || substring(sk, 1, 32)").alias("sk2"), F.posexplode("keys").alias("seg", "k"))
-    band = band.select("same", "k", F.expr(f"substring(sk2, (seg + 1) * {WIDTH} + 1, {WIDTH * CHAIN})").alias("ring")).select("same", "k", long(1).alias("c1"), long(9).alias("c2"))
-    a, b = band.alias("a"), band.alias("b")
-    col = lambda name: F.col(name)
-    met = a.join(b, (col("a.k") == col("b.k")) & (col("a.same") < col("b.same")) & chained(col("a.c1"), col("a.c2"), col("b.c1"), col("b.c2")))
-    met = stored(met.select(col("a.same").alias("same_a"), col("b.same").alias("same_b")).distinct(), "met")
+    # where chains may start, once per class
+    classes = stored(made.filter("sk is not null").select("same", "sk").dropDuplicates(["same"]), "classes")
+    drop(made)
+    longs = [f"c{k}" for k in range(CHAIN // LONG)]
 
-    # the sketches and runs of classes that met one: a bitmap lets pass nearly only them, joins do the rest
-    bits = spark.sparkContext.broadcast(bitmap(met.select(F.explode(F.array("same_a", "same_b")).alias("same")), "same"))
+    def bands(batches):
+        for batch in batches:
+            keys, chain = band(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, M))
+            same = np.repeat(batch.column(0).to_numpy(), STARTS)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (same, keys.reshape(-1), *np.moveaxis(chain, 2, 0).reshape(len(longs), -1))], names=["same", "k", *longs])
+
+    banded = classes.mapInArrow(bands, "same long, k long, " + ", ".join(f"{c} long" for c in longs))
+    a, b = banded.alias("a"), banded.alias("b")
+    col = lambda name: F.col(name)
+    met = a.join(b, (col("a.k") == col("b.k")) & (col("a.same") < col("b.same")) & chained([col(f"a.{c}") for c in longs], [col(f"b.{c}") for c in longs]))
+    met = met.select(col("a.same").alias("same_a"), col("b.same").alias("same_b")).distinct()
 
-    def passing(batches):
+    def within(batches):
         for batch in batches:
-            at = batch.column(3).to_numpy()
-            keep = (bits.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) > 0
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2)], names=["same", "sk", "runs"]).filter(pa.array(keep))
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, M) for k in (2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["same_a", "same_b"]).filter(pa.array((x != y).sum(1) <= TAU))
+
+    sk = lambda s: classes.select(F.col("same").alias("same" + s), F.col("sk").alias("sk" + s))
+    near = stored(met.join(sk("_a"), "same_a").join(sk("_b"), "same_b").select("same_a", "same_b", "sk_a", "sk_b").mapInArrow(within, "same_a long, same_b long"), "near")
 
-    full = made.filter("keys is not null").select("same", "sk", "runs", F.pmod(F.xxhash64("same"), F.lit(BITS)).alias("at"))
-    named = stored(full.mapInArrow(passing, "same long, sk binary, runs binary"), "named").dropDuplicates(["same"])
-    side = lambda s: named.select(*[F.col(c).alias(c + s) for c in ("same", "sk", "runs")])
-    both = met.join(side("_a"), "same_a").join(side("_b"), "same_b").select("same_a", "same_b", "sk_a", "sk_b", "runs_a", "runs_b")
+    # the whole sets of the classes that are left, from one record of each: a bitmap lets pass nearly only these
+    needed = near.select(F.explode(F.array("same_a", "same_b")).alias("same")).distinct()
+    first = members.join(needed, "same", "left_semi").groupBy("same").agg(F.min(key).alias(key))
+    bits = spark.sparkContext.broadcast(bitmap(first, key))
+
+    def again(batches):
+        number, seen = WordHash(), set()
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            same, sets = [], []
+            for k in np.flatnonzero((bits.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)).tolist():
+                d = distinct_runs(number, (batch.column(0)[k].as_py(), batch.column(1)[k].as_py()))
+                s = digest(d) if len(d) else None
+                if s is not None and s not in seen:
+                    if len(seen) < 200_000:
+                        seen.add(s)
+                    same.append(s), sets.append(d.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(same, pa.int64()), pa.array(sets, pa.binary())], names=["same", "runs"])
+
+    source = rows.select(titulo, texto, F.pmod(F.xxhash64(key), F.lit(BITS)).alias("at"))
+    whole = stored(source.mapInArrow(again, "same long, runs binary").join(needed, "same", "left_semi").dropDuplicates(["same"]), "whole")
+    runs_of = lambda s: whole.select(F.col("same").alias("same" + s), F.col("runs").alias("runs" + s))
+    both = near.join(runs_of("_a"), "same_a").join(runs_of("_b"), "same_b").select("same_a", "same_b", "runs_a", "runs_b")
 
     def exact(batches):
         for batch in batches:
-            keep = []
-            for sa, sb, ra, rb in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
-                near = int((np.frombuffer(sa, np.uint8) != np.frombuffer(sb, np.uint8)).sum()) <= TAU
-                keep.append(near and likeness(unpack_runs(ra), unpack_runs(rb)) >= LIKE)
+            keep = [likeness(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= LIKE for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["same_a", "same_b"]).filter(pa.array(keep, pa.bool_()))
 
     links = stored(both.mapInArrow(exact, "same_a long, same_b long"), "links")
+    drop(classes, near, whole)
 
     of = lambda s: members.select(F.col(key).alias("id" + s), F.col("same").alias("same" + s))
     across = links.join(of("_a"), "same_a").join(of("_b"), "same_b").select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
     several = members.groupBy("same").count().filter("count > 1").select("same")
     group = members.join(several, "same", "left_semi")
     g, h = group.alias("g"), group.alias("h")
-    within = g.join(h, (col("g.same") == col("h.same")) & (col(f"g.{key}") < col(f"h.{key}"))).select(col(f"g.{key}").alias("id_a"), col(f"h.{key}").alias("id_b"))
-    return {"members": members, "links": links, "pairs": across.unionByName(within)}
+    same_set = g.join(h, (col("g.same") == col("h.same")) & (col(f"g.{key}") < col(f"h.{key}"))).select(col(f"g.{key}").alias("id_a"), col(f"h.{key}").alias("id_b"))
+    return {"members": members, "links": links, "pairs": across.unionByName(same_set)}

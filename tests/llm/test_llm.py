@@ -214,9 +214,35 @@ def test_words_and_chain(spark):
         w = re.findall(r"[^\W_]+", fold(t))
         assert len(h.numbers(t)) == len(w) and len(runs(h.numbers(t))) == max(0, len(w) - 2)
     got = spark.createDataFrame([(0,), (255,), (-1,), (0x0100000000000001,)], "x long").select(neardup.differing(F.col("x"))).collect()
-    assert [r[0] for r in got] == [0, 1, 8, 2]
-    x = np.unique(runs(np.arange(500, dtype=np.uint32)))
-    assert (neardup.unpack_runs(neardup.pack_runs(x)) == np.unique(x >> np.uint64(40))).all()
+    assert [r[0] for r in got] == [0, 2, 16, 2]
+
+
+def test_chain_against_counting(spark):
+    """The keys and the chain test on longs say what counting symbols says."""
+    r = np.random.default_rng(1)
+    a = r.integers(0, 1 << 16, (40, neardup.M)).astype(np.uint16)
+    b = np.where(r.random(a.shape) < 0.55, a, r.integers(0, 1 << 16, a.shape).astype(np.uint16))
+    (ka, ca), (kb, cb) = neardup.band(a), neardup.band(b)
+    data = [(i, j, *ca[i, j].tolist(), *cb[i, j].tolist()) for i in range(40) for j in range(neardup.STARTS) if ka[i, j] == kb[i, j]]
+    df = spark.createDataFrame(data, "i int, j int, a0 long, a1 long, b0 long, b1 long")
+    got = {(x.i, x.j) for x in df.filter(neardup.chained([df.a0, df.a1], [df.b0, df.b1])).collect()}
+    want = set()
+    for i in range(40):
+        for j in range(neardup.STARTS):
+            ring = [(neardup.STEP * j + k) % neardup.M for k in range(neardup.WIDTH * (neardup.CHAIN + 1))]
+            low = [(a[i, k] & 15) != (b[i, k] & 15) for k in ring]
+            if (a[i, ring[: neardup.WIDTH]] == b[i, ring[: neardup.WIDTH]]).all() and all(sum(low[: neardup.WIDTH * n]) <= n * neardup.TAU / neardup.SEGMENTS for n in range(1, neardup.CHAIN + 2)):
+                want.add((i, j))
+    assert got == want and 40 < len(want) < len(data)
+
+
+def test_near_duplicates_of_copies(spark):
+    """Copies of two like texts in many tasks are two classes and one link."""
+    r, texts = corpus(9, 2)
+    one, other = texts[0], texts[0] + " más palabras nuevas al final"
+    df = spark.createDataFrame([(f"i{k}", "T", (one, other)[k % 2]) for k in range(60)], "id string, titulo string, texto string").repartition(6)
+    made = neardup.near_duplicates(df)
+    assert made["links"].count() == 1 and made["members"].select("same").distinct().count() == 2 and made["pairs"].distinct().count() == made["pairs"].count() == 60 * 59 // 2
 
 
 # -- problem 3 --------------------------------------------------------------------------------------------
