@@ -45,6 +45,9 @@ TIMES = 8
 #: than KEYS keys: this says what the meeting costs, not which forms meet.
 ALONE, KEYS = 40, 500
 
+#: Longest acronym, and so most words that one can stand for: it has 2 ** (ACRONYM - 1) keys at most.
+ACRONYM = 8
+
 #: Other spellings of a word.
 OTHERS: dict[str, list[str]] = {}
 for _short, _word in SAME.items():
@@ -120,6 +123,11 @@ def acronym(a: str, words: list[str]) -> bool:
     return any((n == 1 or shortens(a[:n], words[0])) and acronym(a[n:], words[1:]) for n in range(1, min(4, len(a)) + 1))
 
 
+def initials(a: str) -> set[str]:
+    """What the first letters of the words may be that an acronym stands for: its first letter and any of the rest, in order; two at least."""
+    return {a[0] + "".join(c) for n in range(1, len(a)) for c in combinations(a[1:], n)}
+
+
 def slip(known: int, other: int) -> bool:
     """Whether a word in `known` names is rare enough to be a slip of one in `other`."""
     return known <= SLIP or other >= TIMES * known
@@ -333,9 +341,24 @@ def linked(names: DataFrame, name: str = "nombre") -> DataFrame:
     ranked = stored(spelled.groupBy("form", "weight").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("ts")), "ranked")
 
     pairs = candidates(ranked, known, honours)
-    single = ranked.filter((F.size("form") == 1) & F.length(F.col("form")[0]).between(3, 8)).select("form", "weight", "ts", F.substring(F.col("form")[0], 1, 1).alias("key"))
+    # acronyms meet the names whose words begin with letters that stand in them in that order
     order = made.join(forms, "nombre").groupBy("form").agg(F.min("nombre").alias("nombre"))
-    several = ranked.filter(F.size("form") >= 3).join(order, "form").select(F.col("form").alias("full"), F.col("weight").alias("fullweight"), "nombre", F.explode(F.array_distinct(F.transform("form", lambda x: F.substring(x, 1, 1)))).alias("key"))
+    single = ranked.filter((F.size("form") == 1) & F.length(F.col("form")[0]).between(3, ACRONYM)).select("form", "weight", "ts", F.col("form")[0].alias("a"))
+    several = ranked.filter(F.size("form") >= 3).join(order, "form").select(F.col("form").alias("full"), F.col("weight").alias("fullweight"), "nombre")
+
+    def beginning(batches):
+        for batch in batches:
+            key = ["".join(w[0] for w in tokens(n) if w not in LINKS) for n in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key, pa.string())], names=["full", "fullweight", "nombre", "key"]).filter(pa.array([len(k) <= ACRONYM for k in key], pa.bool_()))
+
+    def contained(batches):
+        for batch in batches:
+            kept = [initials(a) for a in batch.column(3).to_pylist()]
+            at = pa.array([k for k, keys in enumerate(kept) for _ in keys], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns[:3]), pa.array([x for keys in kept for x in keys], pa.string())], names=["form", "weight", "ts", "key"])
+
+    single = single.mapInArrow(contained, "form array<string>, weight long, ts array<struct<n:long,t:string>>, key string")
+    several = several.mapInArrow(beginning, "full array<string>, fullweight long, nombre string, key string")
 
     def judged(batches):
         for batch in batches:
