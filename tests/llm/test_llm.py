@@ -385,12 +385,24 @@ def test_sentences(spark):
     assert sentences.sentences(df.limit(0)).count() == 0
 
 
+def test_words_have_counts_of_their_own():
+    """Counts are by the word, and a word without any takes its class's share."""
+    scanner = sentences.Scanner()
+    texts = ["Firma el Sr. Alba.\nVéase el núm. 5 del acta.\nEl acta. La obra."] * 30 + ["El acta."] * 60
+    rec = np.concatenate([np.array(scanner.scan(t), np.int32).reshape(-1, sentences.FIELDS) for t in texts])
+    tables = sentences.Tables(sentences.added([sentences.tally(rec[:200]), sentences.tally(rec[200:])]))
+    gap = rec[rec[:, sentences.KIND] == 1]
+    assert sorted(set(zip(*(x.tolist() for x in tables.seen(gap, 0))))) == [(30, 0), (30, 90)]
+    other = np.array(sentences.record(1, 0, 0, 0, scanner.of("otra"), scanner.of("otra")), np.int32)[None]
+    assert tables.seen(other, 0) == (0, 0) and abs(1 / (1 + np.exp(-tables.odds(other, 0)[0])) - min(sentences.MOST, tables.shares[0][other[0, sentences.CLASS[0]]])) < 1e-9
+
+
 def test_posteriors_against_enumeration():
     rec = np.zeros((4, sentences.FIELDS), np.int32)
-    rec[0, 0], rec[0, 3] = 0, 1
-    rec[1:, 0] = 1
-    rec[2, 7] = sentences.CLOSE
-    model = sentences.Model(np.zeros(sentences.Tables.SIZE), np.zeros(sentences.Tables.SIZE))
+    rec[1:, sentences.KIND] = 1
+    rec[2, sentences.FLAGS] = sentences.CLOSE
+    none = sentences.tally(rec[:0])
+    model = sentences.Model(none, none)
     odds = np.array([0.7, -0.4, 0.2])
     model.odds = lambda gap: odds
     total, yes = 0.0, np.zeros(3)
