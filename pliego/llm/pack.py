@@ -11,8 +11,8 @@ from pyspark.sql.window import Window
 
 from pliego.llm.spark import columns, prepare, stored
 
-#: Parts into which the items of one length are ranked apart, so that a frequent length is no single task.
-PARTS = 64
+#: Items of one length that are ranked together, on average; a more frequent length is ranked in so many parts.
+RANKED = 100_000
 
 
 def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -63,8 +63,8 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
     the place of the item in its container.  Repeated keys are items of their own.
 
     The driver holds only the histogram (at most `capacity` lengths) and the patterns made from it
-    (at most two new ones per length).  Items are joined to patterns by rank within their length,
-    counted in PARTS per length, so no length is ranked in one task.
+    (at most two new ones per length).  Items are joined to patterns by rank within their length, which
+    is counted in parts of some RANKED items, so that no length is ranked in one task; those of size 0 aren't.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -74,18 +74,20 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
     whole = columns(sizes, key, size).select(F.col(key), n.alias("_n"))
     pieces = whole.withColumn("pieza", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.col("_n") - 1) / capacity)).cast("int"))))
     pieces = pieces.select(key, "pieza", F.least(F.lit(capacity), F.col("_n") - F.col("pieza") * F.lit(capacity)).cast("int").alias("n_tok"))
-    pieces = stored(pieces.withColumn("_part", F.pmod(F.xxhash64(key, "pieza"), F.lit(PARTS)).cast("int")), "pieces")
-
-    counts = pieces.filter("n_tok > 0").groupBy("n_tok", "_part").count()
-    table = counts.toArrow()  # capacity x PARTS rows at most
-    lens, parts, number = (table.column(c).to_numpy() for c in ("n_tok", "_part", "count"))
-    order = np.lexsort((parts, lens))
-    lens, parts, number = lens[order], parts[order], number[order].astype(np.int64)
+    pieces = stored(pieces, "pieces")
+    some = pieces.filter("n_tok > 0")
+    histogram = {r.n_tok: r.n for r in some.groupBy("n_tok").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
+    parts = spark.createDataFrame([(n, -(-many // RANKED)) for n, many in histogram.items()], "n_tok int, _parts int")
+    some = some.join(F.broadcast(parts), "n_tok").withColumn("_part", F.pmod(F.xxhash64(key, "pieza"), F.col("_parts")).cast("int")).select(key, "pieza", "n_tok", "_part")
+
+    table = some.groupBy("n_tok", "_part").count().toArrow()  # a row for each length, and for each RANKED items
+    lens, part_of, number = (table.column(c).to_numpy() for c in ("n_tok", "_part", "count"))
+    offset_key = (lens.astype(np.int64) << np.int64(32)) + part_of
+    order = np.argsort(offset_key)
+    lens, offset_key, number = lens[order], offset_key[order], number[order].astype(np.int64)
     before = np.cumsum(number) - number
     first = np.concatenate([[True], lens[1:] != lens[:-1]]) if len(lens) else np.zeros(0, bool)
-    before = before - np.repeat(before[first], np.diff(np.concatenate([np.flatnonzero(first), [len(lens)]])))
-    offset_key, offset = lens.astype(np.int64) * PARTS + parts, before
-    histogram = {int(k): int(number[lens == k].sum()) for k in np.unique(lens)}
+    offset = before - np.repeat(before[first], np.diff(np.concatenate([np.flatnonzero(first), [len(lens)]])))
 
     # slots: the ranks of one length from `start` on go, one each, into the containers from `base` on, at `place`
     used = dict.fromkeys(histogram, 0)
@@ -105,23 +107,16 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
     def work(batches):
         for batch in batches:
             n, part, rank = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 3, 4))
-            some = n > 0
-            box, start = np.full(len(n), -1, np.int64), np.zeros(len(n), np.int64)
-            if some.any():
-                k = n[some]
-                r = rank[some] - 1 + offset[np.searchsorted(offset_key, k * PARTS + part[some])]
-                at = np.searchsorted(s_key, k * wide + r, side="right") - 1
-                inside = r - s_start[at]
-                box[some] = s_base[at] + inside % s_many[at]
-                start[some] = s_place[at] + inside // s_many[at] * k
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(box, pa.int64(), mask=~some), pa.array(start, pa.int32())],
-                names=[key, "pieza", "n_tok", "contenedor", "inicio"],
-            )
-
-    ranked = pieces.withColumn("_rank", F.row_number().over(Window.partitionBy("n_tok", "_part").orderBy(key, "pieza")))
+            r = rank - 1 + offset[np.searchsorted(offset_key, (n << np.int64(32)) + part)]
+            at = np.searchsorted(s_key, n * wide + r, side="right") - 1
+            inside = r - s_start[at]
+            box, start = s_base[at] + inside % s_many[at], s_place[at] + inside // s_many[at] * n
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(box), pa.array(start, pa.int32())], names=[key, "pieza", "n_tok", "contenedor", "inicio"])
+
+    ranked = some.withColumn("_rank", F.row_number().over(Window.partitionBy("n_tok", "_part").orderBy(key, "pieza")))
     schema = T.StructType([sizes.schema[key], T.StructField("pieza", T.IntegerType()), T.StructField("n_tok", T.IntegerType()), T.StructField("contenedor", T.LongType()), T.StructField("inicio", T.IntegerType())])
-    return ranked.select(key, "pieza", "n_tok", "_part", "_rank").mapInArrow(work, schema)
+    none = pieces.filter("n_tok = 0").select(key, "pieza", "n_tok", F.lit(None).cast("long").alias("contenedor"), F.lit(0).alias("inicio"))
+    return ranked.select(key, "pieza", "n_tok", "_part", "_rank").mapInArrow(work, schema).unionByName(none)
 
 
 def waste(packed: DataFrame, capacity: int) -> DataFrame:
