@@ -5,12 +5,39 @@ All functions take and return Columns.  A null text gives null unless said other
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+from itertools import chain
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented letters of the Latin alphabet and what they fold to, for native tokenising.
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuncyy"
+
+@lru_cache(maxsize=1)
+def _folds() -> tuple[str, str, str, dict[str, str]]:
+    """By rule, for each character what it folds to (full case folding, compatibility decomposition without combining
+    marks): characters that become one other, what these are, those that vanish, and those that become several."""
+    one, to, none, several = [], [], [], {}
+    for c in map(chr, chain(range(0xD800), range(0xE000, 0x20000), range(0xE0000, 0xE1000))):
+        f = "".join(x for x in unicodedata.normalize("NFKD", c.casefold()) if not unicodedata.combining(x))
+        if len(f) == 1 and f != c:
+            one.append(c), to.append(f)
+        elif not f:
+            none.append(c)
+        elif len(f) > 1:
+            several[c] = f
+    return "".join(one), "".join(to), "".join(none), several
+
+
+def _char_class(chars: list[str]) -> str:
+    """A character class of sorted characters, by ranges."""
+    out, first = [], None
+    for c, following in zip(chars, [*chars[1:], None]):
+        first = first or c
+        if following is None or ord(following) != ord(c) + 1:
+            out.append(rf"\x{{{ord(first):X}}}-\x{{{ord(c):X}}}")
+            first = None
+    return "[" + "".join(out) + "]"
 
 
 def pattern(p: str, flags: str = "iuUd") -> str:
@@ -39,9 +66,13 @@ def label_line(c: Column, label: str) -> Column:
     return F.when(c.rlike(pattern(f"(?:{label})[^\n]*:\n[^\n]+", "uUd")), F.trim(F.regexp_replace(F.trim(line), r"\.+$", "")))
 
 
+#: Ordinals that head sections (fixed value).
+ORDINALS = "Primero|Segundo|Tercero|Cuarto"
+
+
 def section(c: Column, title: str) -> Column:
     """What follows an ordinal heading with this title, on its line or else the next: 300 characters at most, null if empty.  Case counts."""
-    p = pattern(rf"(?:Primero|Segundo|Tercero|Cuarto)\.?\s*-?\s*(?:{title})[.:]?\s*([^\n]*)\n([^\n]*)", "uUd")
+    p = pattern(rf"(?:{ORDINALS})\.?\s*-?\s*(?:{title})[.:]?\s*([^\n]*)\n([^\n]*)", "uUd")
     line = F.coalesce(F.nullif(F.regexp_extract(c, p, 1), F.lit("")), F.regexp_extract(c, p, 2))
     return F.nullif(F.left(F.trim(line), F.lit(300)), F.lit(""))
 
@@ -76,8 +107,17 @@ def format_string(c: Column) -> Column:
 
 
 def fold(c: Column) -> Column:
-    """Lower case without the accents of the Latin alphabet, joined or apart."""
-    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), r"\p{Mn}", "")
+    """Full case folding and compatibility decomposition without combining marks ("1ª" is "1a", "ﬁ" is "fi").
+
+    One translation for characters that become one; only texts with a character that becomes several are
+    taken apart, and only those characters are looked up.
+    """
+    one, to, none, several = _folds()
+    plain = F.translate(c, one + none, to)
+    kind = _char_class(sorted(several))
+    table = F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in several.items())), F.lit("\x02"), F.lit("\x01"))
+    spelled = F.array_join(F.transform(F.split(plain, ""), lambda x: F.when(x.rlike(kind), F.try_element_at(table, x)).otherwise(x)), "")
+    return F.when(c.rlike(kind), spelled).otherwise(plain)
 
 
 def tokens(c: Column) -> Column:
@@ -111,6 +151,16 @@ def html_text(c: Column) -> Column:
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
+#: Tokens of the default tokenizer: words and single marks, with the white space before them.
+PIECE = r"[ \t\n\f\r]*(?:[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\f\r])"
+
+
+def truncate_tokens(c: Column, most: int, piece: str = PIECE) -> Column:
+    """The text up to the end of its token `most`; unchanged if it has no more tokens.  Null stays null."""
+    pieces = F.regexp_extract_all(c, F.lit(piece), F.lit(0))
+    return F.when(F.size(pieces) > most, F.array_join(F.slice(pieces, 1, most), "")).otherwise(c)
+
+
 def try_int(c: Column) -> Column:
     """Digits as a number, anything else null."""
     return F.when(c.rlike(r"^[0-9]+$"), c.try_cast("int"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pliego.functions.normalize import MONTHS
 from pliego.functions.text import token_f1, tokens
-from pliego.schemas import AMOUNTS, FREE, LISTS, TEXT
+from pliego.schemas import AMOUNTS, FREE, LISTS, LITERAL, PAYLOAD, TEXT, fields, struct
 
 
 def similarity(field: str, g: Column, p: Column) -> Column:
@@ -51,28 +52,34 @@ def summary(fields: DataFrame) -> DataFrame:
     """micro (without free text), macro, and the free text's own F1; nulls of an empty gold set stay null."""
     free = F.col("campo").isin(*FREE)
     total = lambda c, cond: F.sum(F.when(cond, F.col(c)).otherwise(0.0))
-    return fields.agg(f1(*[total(c, ~free) for c in ("tp", "fp", "fn")]).alias("micro"), F.avg("f1").alias("macro"), f1(*[total(c, free) for c in ("tp", "fp", "fn")]).alias("texto_libre"))
+    return fields.agg(f1(*[total(c, ~free) for c in ("tp", "fp", "fn")]).alias("micro"), F.avg(F.when(~free, F.col("f1"))).alias("macro"), f1(*[total(c, free) for c in ("tp", "fp", "fn")]).alias("texto_libre"))
 
 
 def latency(df: DataFrame, ms: str, *groups: str) -> DataFrame:
     """Median, and the 95th percentile by exclusive quantiles (it goes beyond the largest value where these are few); null for fewer than two values.
 
-    Values are counted before they are gathered, so the list holds distinct values, not rows."""
-    per = df.filter(F.col(ms).isNotNull()).groupBy(*groups, F.col(ms).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    packed = per.groupBy(*groups).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("v", "n"))).alias("vs"))
-    runs = F.aggregate("vs", F.array().cast("array<struct<v:double,upto:bigint>>"), lambda acc, x: F.concat(acc, F.array(F.struct(x["v"].alias("v"), (F.coalesce(F.try_element_at(acc, F.lit(-1))["upto"], F.lit(0).cast("bigint")) + x["n"]).alias("upto")))))
-    packed = packed.withColumn("vs", runs)
-    at = lambda k: F.filter("vs", lambda x: x["upto"] >= k)[0]["v"]
+    Values are counted first; the places wanted are then found by a running sum over distinct values, not rows."""
+    per = df.filter(F.col(ms).isNotNull()).groupBy(*groups, F.col(ms).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("times"))
+    whole = Window.partitionBy(*groups)
+    per = per.withColumn("upto", F.sum("times").over(whole.orderBy("v"))).withColumn("n", F.sum("times").over(whole))
     n = F.col("n")
     j = F.least(F.greatest(F.floor(19 * (n + 1) / 20), F.lit(1)), n - 1)
+    holds = lambda k: (F.col("upto") >= k) & (F.col("upto") - F.col("times") < k)
+    at = lambda k: F.max(F.when(holds(k), F.col("v")))
+    found = per.groupBy(*groups, "n").agg(at(F.floor((n + 1) / 2)).alias("low"), at(F.floor(n / 2) + 1).alias("high"), at(j).alias("a"), at(j + 1).alias("b"))
     d = 19 * (n + 1) - 20 * j
-    p95 = F.when(n > 1, (at(j) * (20 - d) + at(j + 1) * d) / 20)
-    return packed.select(*groups, "n", ((at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2).alias("p50"), p95.alias("p95"))
+    p95 = F.when(n > 1, (F.col("a") * (20 - d) + F.col("b") * d) / 20)
+    return found.select(*groups, "n", ((F.col("low") + F.col("high")) / 2).alias("p50"), p95.alias("p95"))
 
 
 def hallucinated_literal(value: Column, text: Column) -> Column:
     """Whether less than half of the value's words stand in the text; null for a null value."""
-    words, have = tokens(value), tokens(text)
+    return uncovered(value, tokens(text))
+
+
+def uncovered(value: Column, have: Column) -> Column:
+    """The same with the text's words."""
+    words = tokens(value)
     return F.when(value.isNotNull(), F.size(F.filter(words, lambda w: F.array_contains(have, w))) < F.size(words) / 2)
 
 
@@ -90,3 +97,58 @@ def hallucinated_date(value: Column, text: Column) -> Column:
     day, year = F.dayofmonth(value).cast("string"), F.year(value).cast("string")
     p = F.concat(F.lit(r"(?i)\b0?"), day, F.lit(" de "), name, F.lit(" de "), year, F.lit("|"), day, F.lit("/"), F.date_format(value, "MM"), F.lit("/"), year)
     return F.when(value.isNotNull(), ~F.regexp_like(text, p))
+
+
+def hallucinated(path: str, value: Column, text: Column, words: Column) -> Column:
+    """Whether a field's value is missing from the text (`words` are its words); null for a null value, an empty list, and fields that can't be checked."""
+    base = path.split(".")[0]
+    if base == "cpv":
+        return F.when(F.size(value) > 0, F.exists(value, lambda x: F.coalesce(uncovered(x, words), F.lit(False))))
+    if base in LITERAL:
+        return uncovered(value, words)
+    if base in AMOUNTS:
+        return hallucinated_amount(value, text)
+    if path.endswith("fecha_fin") or base == "fecha_limite_ofertas":
+        return hallucinated_date(value, text)
+    return F.lit(None).cast("boolean")
+
+
+def flatten(tipo: str, data: Column) -> dict[str, Column]:
+    """The fields of a payload by their paths; null where the payload or a parent is null."""
+    return {path: data[path.split(".")[0]][path.split(".")[1]] if "." in path else data[path] for path in fields(tipo)}
+
+
+def evaluation(gold: dict[str, DataFrame], predictions: DataFrame, texts: DataFrame) -> DataFrame:
+    """`id, tipo, sin_prellenado, valido, campo, tp, fp, fn, alucinado`: every field of every gold record.
+
+    gold: by kind, `id` and the payload's columns, one row per id; predictions: one row per id with json, valido and
+    sin_prellenado; texts: id, texto.  A missing or invalid prediction has no values; a missing text is empty.  All
+    populations are groups of these rows: one pass, whatever is asked for.
+    """
+    out = None
+    for tipo in PAYLOAD:
+        known = gold[tipo].select("id", F.struct(*[f.name for f in struct(tipo).fields]).alias("g"))
+        said = predictions.select("id", "sin_prellenado", F.coalesce("valido", F.lit(False)).alias("valido"), F.when(F.col("valido"), F.from_json("json", struct(tipo), {"dateFormat": "yyyy-MM-dd"})).alias("p"))
+        both = known.join(said, "id", "left").join(texts, "id", "left").select("id", "sin_prellenado", F.coalesce("valido", F.lit(False)).alias("valido"), "g", "p", F.coalesce("texto", F.lit("")).alias("texto"))
+        both = both.withColumn("palabras", tokens(F.col("texto")))
+        g, p = flatten(tipo, F.col("g")), flatten(tipo, F.col("p"))
+        rows = F.array(*[F.struct(F.lit(k).alias("campo"), counts(k, g[k], p[k]).alias("c"), hallucinated(k, p[k], F.col("texto"), F.col("palabras")).alias("alucinado")) for k in g])
+        one = both.select("id", F.lit(tipo).alias("tipo"), "sin_prellenado", "valido", F.explode(rows).alias("r")).select("id", "tipo", "sin_prellenado", "valido", "r.campo", "r.c.*", "r.alucinado")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def populations(rows: DataFrame) -> DataFrame:
+    """`poblacion, documentos, validos, alucinacion, micro, macro, texto_libre` of all records ("todo"), of each kind and of those without prefilling ("sin_prellenado"): grouping sets over one pass."""
+    free = F.col("campo").isin(*FREE)
+    per = rows.groupBy("tipo", "campo", F.coalesce("sin_prellenado", F.lit(False)).alias("cero")).agg(
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn")], F.count(F.lit(1)).alias("n"), F.sum(F.col("valido").cast("int")).alias("ok"), F.sum(F.col("alucinado").cast("int")).alias("mal"), F.count("alucinado").alias("vistos"))
+    named = per.withColumn("poblacion", F.explode(F.array_compact(F.array(F.lit("todo"), F.col("tipo"), F.when(F.col("cero"), "sin_prellenado")))))
+    field = named.groupBy("poblacion", "tipo", "campo").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "n", "ok", "mal", "vistos")]).withColumn("f1", f1(F.col("tp"), F.col("fp"), F.col("fn")))
+    total = lambda c, cond: F.sum(F.when(cond, F.col(c)).otherwise(0.0))
+    first = F.col("campo").isin("organismo", "organo_contratacion")  # every record has one of them
+    return field.groupBy("poblacion").agg(
+        F.sum(F.when(first, F.col("n"))).alias("documentos"), (F.sum(F.when(first, F.col("ok"))) / F.sum(F.when(first, F.col("n")))).alias("validos"),
+        F.coalesce(F.try_divide(F.sum("mal"), F.sum("vistos")), F.lit(0.0)).alias("alucinacion"),
+        f1(*[total(c, ~free) for c in ("tp", "fp", "fn")]).alias("micro"), F.avg(F.when(~free, F.col("f1"))).alias("macro"), f1(*[total(c, free) for c in ("tp", "fp", "fn")]).alias("texto_libre"),
+    )

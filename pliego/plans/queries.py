@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,8 @@ from pliego.operators import conventions as V
 from pliego.operators import corpus, report, rules, sampling
 from pliego.operators import evaluate as E
 from pliego.operators.validate import errors
+from pliego.schemas import LITERAL, PAYLOAD, fields, kinds, struct
+from pliego.sources.records import read_records, write_day, write_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,7 +57,10 @@ def match(c: str, p: str, i: bool = True) -> str:
 
 
 def words_sql(c: str) -> str:
-    return f"regexp_extract_all(strip_accents(lower({c})), '[\\p{{L}}\\p{{N}}_]+')"
+    folded = f"strip_accents(lower({c}))"
+    for a, b in (("º", "o"), ("ª", "a"), ("ß", "ss"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("½", "1⁄2"), ("²", "2"), ("³", "3"), ("№", "no"), ("™", "tm")):  # written out, not taken from the engine
+        folded = f"replace({folded}, '{a}', '{b}')"
+    return f"regexp_extract_all({folded}, '[\\p{{L}}\\p{{N}}_]+')"
 
 
 def f1_sql(a: str, b: str) -> str:
@@ -84,13 +91,10 @@ def title_sql(c: str) -> str:
     return f"array_to_string(list_transform(regexp_extract_all({c}, '\\p{{L}}+|[^\\p{{L}}]+'), lambda w: upper(w[1]) || lower(w[2:])), '')"
 
 
-LAST_DOC = "(SELECT id, any_value(tipo) AS tipo, any_value(subtipo) AS subtipo, max(titulo) AS titulo, max(departamento) AS departamento, max(texto) AS texto FROM boe_documents GROUP BY id)"
-
-
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    """Each document once."""
-    m = lambda c: F.max(c).alias(c)
-    return table(spark, d, "boe_documents").groupBy("id").agg(m("tipo"), m("subtipo"), m("titulo"), m("departamento"), m("texto"))
+    """The documents' rows; repeated rows of an id hold the same text.  Queries extract first and then drop repeated
+    outcomes, so that no text is shuffled."""
+    return table(spark, d, "boe_documents")
 
 
 DOCS_SQL = "SELECT id, max(tipo) AS tipo, max(subtipo) AS subtipo, max(titulo) AS titulo, max(departamento) AS departamento, max(texto) AS texto FROM boe_documents GROUP BY id"
@@ -146,7 +150,7 @@ def join_inner(spark, d):
 
 @query("SELECT h.row_id, h.id, coalesce(max(length(b.texto)), 0)::BIGINT AS n FROM hf h LEFT JOIN boe_documents b ON h.id = b.id GROUP BY h.row_id, h.id")
 def join_left_eval(spark, d):
-    texts = docs(spark, d).select("id", F.length("texto").alias("n"))
+    texts = docs(spark, d).select("id", F.length("texto").alias("n")).distinct()
     return table(spark, d, "hf").select("row_id", "id").join(texts, "id", "left").select("row_id", "id", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
@@ -260,13 +264,13 @@ def corpus_split_counts(spark, d):
 
 @query(over_docs("id, tipo, subtipo, titulo, departamento, length(texto)::INTEGER AS largo"))
 def corpus_rows(spark, d):
-    return docs(spark, d).select("id", "tipo", "subtipo", "titulo", "departamento", F.length("texto").alias("largo"))
+    return docs(spark, d).select("id", "tipo", "subtipo", "titulo", "departamento", F.length("texto").alias("largo")).distinct()
 
 
 @query(over_docs("id, md5('Título: ' || coalesce(titulo, '') || chr(10) || 'Departamento: ' || coalesce(departamento, '') || chr(10) || chr(10) || coalesce(texto, '')) AS huella"))
 def prompt_user(spark, d):
     x = docs(spark, d)
-    return x.select("id", F.md5(corpus.prompt(x.titulo, x.departamento, x.texto)).alias("huella"))
+    return x.select("id", F.md5(corpus.prompt(x.titulo, x.departamento, x.texto)).alias("huella")).distinct()
 
 
 @query("SELECT row_id, CASE WHEN json IS NULL THEN 2 ELSE 3 END::INTEGER AS mensajes, CASE WHEN json IS NULL THEN 'user' ELSE 'assistant' END AS ultimo FROM hf")
@@ -297,10 +301,8 @@ def annotation_progress(spark, d):
 
 @query("SELECT id, tipo, coalesce(subtipo, '') AS grupo, row_number() OVER (PARTITION BY tipo ORDER BY coalesce(subtipo, ''), id) AS orden FROM (SELECT DISTINCT id, tipo, subtipo FROM boe_documents)")
 def annotation_queue(spark, d):
-    from pyspark.sql.window import Window
-
-    u = table(spark, d, "boe_documents").select("id", "tipo", "subtipo").distinct().withColumn("grupo", F.coalesce("subtipo", F.lit("")))
-    return u.select("id", "tipo", "grupo", F.row_number().over(Window.partitionBy("tipo").orderBy("grupo", "id")).cast("long").alias("orden"))
+    u = table(spark, d, "boe_documents").select("id", "tipo", F.coalesce("subtipo", F.lit("")).alias("grupo")).distinct()
+    return sampling.queued(u, "tipo", "grupo", "id", "orden")
 
 
 @query("SELECT strftime(fecha, '%Y-%m') AS mes, count(DISTINCT fecha) AS dias, strftime(max(fecha), '%Y-%m-%d') AS ultimo FROM boe_sumario GROUP BY 1")
@@ -313,12 +315,12 @@ def report_days(spark, d):
 
 @query(over_docs(f"id, {amount_sql('texto')} AS euros"))
 def norm_amount(spark, d):
-    return docs(spark, d).select("id", N.amount(F.col("texto")).alias("euros"))
+    return docs(spark, d).select("id", N.amount(F.col("texto")).alias("euros")).distinct()
 
 
 @query(over_docs(f"id, {date_sql('texto')} AS fecha"))
 def norm_date(spark, d):
-    return docs(spark, d).select("id", N.date(F.col("texto")).alias("fecha"))
+    return docs(spark, d).select("id", N.date(F.col("texto")).alias("fecha")).distinct()
 
 
 POSTS_SQL = r"(?:^|[^\p{L}\p{N}_])([\p{L}\p{N}_]+(?: y [\p{L}\p{N}_]+)?) plazas? (?:de|del)(?:$|[^\p{L}\p{N}_])"
@@ -326,7 +328,7 @@ POSTS_SQL = r"(?:^|[^\p{L}\p{N}_])([\p{L}\p{N}_]+(?: y [\p{L}\p{N}_]+)?) plazas?
 
 @query(over_docs(f"id, {number_sql(rx('left(texto, 4000)', POSTS_SQL))} AS plazas"))
 def norm_number_words(spark, d):
-    return docs(spark, d).select("id", N.number(X.group(F.left("texto", F.lit(4000)), rules.POSTS)).alias("plazas"))
+    return docs(spark, d).select("id", N.number(X.group(F.left("texto", F.lit(4000)), rules.POSTS)).alias("plazas")).distinct()
 
 
 _win = f"coalesce(nullif({after('texto', rules.FILING, 500)}, ''), texto)"
@@ -341,13 +343,13 @@ _rest = f"lower(regexp_extract({_win}, {lit('(?is)' + N.TERM + '(.{0,250})')}, 3
 )
 def norm_deadline(spark, d):
     x = docs(spark, d).select("id", rules.term(F.col("texto")).alias("p"))
-    return x.select("id", F.col("p.dias").alias("dias"), F.col("p.tipo").alias("tipo_plazo"), F.col("p.desde").alias("desde"))
+    return x.select("id", F.col("p.dias").alias("dias"), F.col("p.tipo").alias("tipo_plazo"), F.col("p.desde").alias("desde")).distinct()
 
 
 @query(over_docs(f"id, coalesce({rx('titulo', rules.BODY, 1, False)}, {title_sql('departamento')}) AS organismo"))
 def extract_body(spark, d):
     x = docs(spark, d)
-    return x.select("id", rules.body(x.titulo, x.departamento).alias("organismo"))
+    return x.select("id", rules.body(x.titulo, x.departamento).alias("organismo")).distinct()
 
 
 @query("SELECT DISTINCT departamento, " + title_sql("departamento") + " AS nombre FROM boe_documents")
@@ -371,26 +373,41 @@ def format_strings(spark, d):
 
 @query(over_docs(f"id, CASE WHEN texto IS NOT NULL THEN md5({after('texto', rules.TOTAL, 600)}) END AS huella"))
 def text_window_after(spark, d):
-    return docs(spark, d).select("id", F.md5(X.window_after(F.col("texto"), rules.TOTAL, 600)).alias("huella"))
+    return docs(spark, d).select("id", F.md5(X.window_after(F.col("texto"), rules.TOTAL, 600)).alias("huella")).distinct()
 
 
 @query(over_docs(f"id, {rx('texto', rules.GRANT_ID.replace(chr(92) + 's', ' '), 1, False)} AS bdns_id", "WHERE tipo = 'ayuda'"))
 def grant_ids(spark, d):
-    return docs(spark, d).filter("tipo = 'ayuda'").select("id", X.group(F.col("texto"), rules.GRANT_ID, 1, "uUd").alias("bdns_id"))
+    return docs(spark, d).filter("tipo = 'ayuda'").select("id", X.group(F.col("texto"), rules.GRANT_ID, 1, "uUd").alias("bdns_id")).distinct()
 
 
-_first = ", ".join(f"struct_pack(p := strpos(lower(left(texto, 4000)), {lit(k)}), r := {n}, v := {lit(v)})" for n, (k, v) in enumerate((("concurso-oposici", "concurso_oposicion"), ("oposición", "oposicion"), ("concurso", "concurso"))))
+_first = ", ".join(f"struct_pack(p := strpos(lower(left(texto, 4000)), {lit(k)}), r := {n}, v := {lit(v)})" for n, (k, v) in enumerate((("concurso-oposici", "concurso_oposicion"), ("oposición", "oposicion"), ("oposicion", "oposicion"), ("concurso", "concurso"))))
 
 
-@query(over_docs(f"id, list_min(list_filter([{_first}], lambda x: x.p > 0)).v AS sistema", "WHERE NOT regexp_matches(coalesce(texto, ''), '(?i)oposicion')"))
+@query(over_docs(f"id, list_min(list_filter([{_first}], lambda x: x.p > 0)).v AS sistema"))
 def first_match(spark, d):
-    x = docs(spark, d).filter(~F.coalesce("texto", F.lit("")).rlike("(?i)oposicion"))
-    return x.select("id", X.first_match(F.left("texto", F.lit(4000)), rules.SYSTEM).alias("sistema"))
+    return docs(spark, d).select("id", X.first_match(F.left("texto", F.lit(4000)), rules.SYSTEM).alias("sistema")).distinct()
+
+
+#: Sections of codes, which the gazette texts of the tables don't have: one of the main line, one of the list of codes.
+def _coded(spark: SparkSession, d: str) -> DataFrame:
+    some = table(spark, d, "licitacion").filter("id IS NOT NULL").select("id", F.coalesce("cpv", F.array()).alias("cpv"), F.coalesce("lotes", F.lit(0)).alias("lotes")).distinct()
+    listed = F.concat(F.lit("5. Códigos CPV:\n"), F.array_join("cpv", " y "), F.lit(".\n6. Otros: 11111111\n"))
+    first = F.concat(F.lit("5.1) CPV principal:\n"), F.coalesce(F.get("cpv", F.lit(0)), F.lit("")), F.lit(".\n6. Códigos CPV: 22222222\n"))
+    return some.select("id", F.when(F.col("lotes") % 2 == 0, listed).otherwise(first).alias("texto"))
 
 
-@query(over_docs(r"id, regexp_extract_all(texto, 'CPV: (\d{8})', 1) AS cpv", "WHERE tipo = 'licitacion' AND texto IS NOT NULL AND NOT contains(texto, 'Códigos CPV')").replace("SELECT id, regexp", "SELECT id, regexp"))
+_CODED_SQL = "SELECT id, CASE WHEN lotes % 2 = 0 THEN '5. Códigos CPV:' || chr(10) || array_to_string(cpv, ' y ') || '.' || chr(10) || '6. Otros: 11111111' || chr(10) ELSE '5.1) CPV principal:' || chr(10) || coalesce(cpv[1], '') || '.' || chr(10) || '6. Códigos CPV: 22222222' || chr(10) END AS texto, cpv, lotes FROM (SELECT DISTINCT id, coalesce(cpv, []) AS cpv, coalesce(lotes, 0) AS lotes FROM licitacion WHERE id IS NOT NULL)"
+
+
+@query(
+    f"WITH d AS ({DOCS_SQL}), c AS ({_CODED_SQL}) SELECT id, 'texto' AS origen, regexp_extract_all(texto, 'CPV: ([0-9]{{8}})', 1) AS cpv FROM d WHERE tipo = 'licitacion' AND texto IS NOT NULL "
+    "UNION ALL SELECT DISTINCT id, 'plantilla', CASE WHEN lotes % 2 = 0 THEN list_transform(list_sort(list_transform(list_distinct(cpv), lambda x: struct_pack(k := list_position(cpv, x), x := x))), lambda s: s.x) WHEN len(cpv) > 0 THEN [cpv[1]] ELSE ['22222222'] END FROM c"
+)
 def extract_codes(spark, d):
-    return docs(spark, d).filter("tipo = 'licitacion' AND texto IS NOT NULL AND NOT contains(texto, 'Códigos CPV')").select("id", rules.codes(F.col("texto")).alias("cpv"))
+    real = docs(spark, d).filter("tipo = 'licitacion' AND texto IS NOT NULL").select("id", F.lit("texto").alias("origen"), "texto")
+    both = real.unionByName(_coded(spark, d).withColumn("origen", F.lit("plantilla")))
+    return both.select("id", "origen", rules.codes(F.col("texto")).alias("cpv")).distinct()
 
 
 @query(r"SELECT id, list_max(list_transform(regexp_extract_all(texto, 'Lote (\d+):', 1), lambda x: x::INTEGER)) AS lotes FROM (SELECT id, 'Lote 1: a Lote ' || lotes || ': b' AS texto FROM licitacion WHERE lotes IS NOT NULL)")
@@ -430,16 +447,19 @@ def section_content(spark, d):
     return a.select("id", X.section(F.col("t"), r"Objeto[^.:\n]*").alias("objeto"))
 
 
+_regimes = ", ".join(f"struct_pack(p := strpos(lower(texto), {lit(k)}), v := {lit(v)})" for k, v in (("concurrencia competitiva", "concurrencia_competitiva"), ("concesión directa", "concesion_directa"), ("concesion directa", "concesion_directa")))
+
+
 @query(
     over_docs(
-        f"id, {rx('texto', rules.GRANT_ID.replace(chr(92) + 's', ' '), 1, False)} AS bdns_id, {amount_sql(after('texto', rules.TOTAL, 600))} AS total, {amount_sql(after('texto', rules.MOST, 200))} AS maximo, CASE WHEN {match('texto', 'concurrencia competitiva')} AND NOT {match('texto', 'concesi[oó]n directa')} THEN 'concurrencia_competitiva' WHEN {match('texto', 'concesi[oó]n directa')} AND NOT {match('texto', 'concurrencia competitiva')} THEN 'concesion_directa' END AS regimen",
-        "WHERE tipo = 'ayuda' AND texto IS NOT NULL AND NOT (regexp_matches(texto, '(?i)concurrencia competitiva') AND regexp_matches(texto, '(?i)concesi[oó]n directa'))",
+        f"id, {rx('texto', rules.GRANT_ID.replace(chr(92) + 's', ' '), 1, False)} AS bdns_id, {amount_sql(after('texto', rules.TOTAL, 600))} AS total, {amount_sql(after('texto', rules.MOST, 200))} AS maximo, list_min(list_filter([{_regimes}], lambda x: x.p > 0)).v AS regimen",
+        "WHERE tipo = 'ayuda' AND texto IS NOT NULL",
     )
 )
 def extract_grant(spark, d):
-    x = docs(spark, d).filter("tipo = 'ayuda' AND texto IS NOT NULL").filter(~(X.has(F.col("texto"), "concurrencia competitiva") & X.has(F.col("texto"), "concesi[oó]n directa")))
+    x = docs(spark, d).filter("tipo = 'ayuda' AND texto IS NOT NULL")
     x = x.select("id", rules.grant(x.titulo, x.departamento, x.texto).alias("g"))
-    return x.select("id", F.col("g.bdns_id"), F.col("g.cuantia_total_eur").alias("total"), F.col("g.importe_max_beneficiario_eur").alias("maximo"), F.col("g.regimen"))
+    return x.select("id", F.col("g.bdns_id"), F.col("g.cuantia_total_eur").alias("total"), F.col("g.importe_max_beneficiario_eur").alias("maximo"), F.col("g.regimen")).distinct()
 
 
 @query(
@@ -451,12 +471,23 @@ def extract_grant(spark, d):
 def extract_job_call(spark, d):
     x = docs(spark, d).filter("tipo = 'convocatoria'")
     x = x.select("id", rules.job_call(x.titulo, x.departamento, x.subtipo, x.texto).alias("c"))
-    return x.select("id", F.col("c.organismo"), F.try_element_at("c.plazas", F.lit(1))["numero"].alias("plazas"), F.col("c.tasa_eur").alias("tasa"), F.col("c.boletin_bases").alias("boletin"))
+    return x.select("id", F.col("c.organismo"), F.try_element_at("c.plazas", F.lit(1))["numero"].alias("plazas"), F.col("c.tasa_eur").alias("tasa"), F.col("c.boletin_bases").alias("boletin")).distinct()
 
 
 @query()
 def extract_rules(spark, d):
-    return rules.extract(docs(spark, d))
+    return rules.extract(docs(spark, d)).distinct()
+
+
+#: Tokens that the query keeps, few enough that most texts are cut.
+KEPT_TOKENS = 150
+_piece = r"[ \t\n\f\r]*(?:[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\f\r])"
+
+
+@query(over_docs(f"id, length(t)::INTEGER AS largo, md5(t) AS huella FROM (SELECT id, CASE WHEN len(p) > {KEPT_TOKENS} THEN array_to_string(p[1:{KEPT_TOKENS}], '') ELSE texto END AS t FROM (SELECT id, texto, regexp_extract_all(texto, {lit(_piece)}) AS p").replace(" FROM d ", " FROM d))"))
+def truncate_tokens(spark, d):
+    t = docs(spark, d).select("id", X.truncate_tokens(F.col("texto"), KEPT_TOKENS).alias("t"))
+    return t.select("id", F.length("t").alias("largo"), F.md5("t").alias("huella")).distinct()
 
 
 # -- validation, conventions --------------------------------------------------------------------------------
@@ -468,10 +499,34 @@ def validate_payload(spark, d):
     return e.groupBy("tipo", errors(e.tipo, e.json).isNull().alias("valido")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT id, json ->> 'organismo' AS organismo, len(json_keys(json))::INTEGER AS campos FROM etiquetas WHERE valido AND tipo <> 'licitacion'")
+def workplace(spark: SparkSession, name: str) -> str:
+    """A new folder for what a query writes, in the folder that executors share; one of our own only within one machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="pliego-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT id, tipo, json ->> 'organismo' AS organismo, json ->> 'organo_contratacion' AS organo, len(json_keys(json))::INTEGER AS campos FROM etiquetas WHERE valido")
 def json_roundtrip(spark, d):
-    e = table(spark, d, "etiquetas").filter("valido AND tipo <> 'licitacion'")
-    return e.select("id", F.get_json_object("json", "$.organismo").alias("organismo"), F.size(F.json_object_keys("json")).alias("campos"))
+    path = workplace(spark, "registros")
+    write_records(table(spark, d, "etiquetas").filter("valido").select("id", "tipo", "json"), path)
+    e = read_records(spark, path, "id string, tipo string, json string")
+    return e.select("id", "tipo", F.get_json_object("json", "$.organismo").alias("organismo"), F.get_json_object("json", "$.organo_contratacion").alias("organo"), F.size(F.json_object_keys("json")).alias("campos"))
+
+
+@query("SELECT id, fecha, titulo FROM boe_sumario WHERE fecha = (SELECT max(fecha) FROM boe_sumario)")
+def sink_parquet_roundtrip(spark, d):
+    """A day is written once: the second write, and one of an empty day, do nothing."""
+    s, path = table(spark, d, "boe_sumario").select("id", "fecha", "titulo"), workplace(spark, "dias")
+    last = s.agg(F.max("fecha")).first()[0]
+    if last is None:
+        return s
+    one = s.filter(F.col("fecha") == F.lit(last))
+    assert write_day(one, path, str(last)) and not write_day(one.limit(1), path, str(last)) and not write_day(one.limit(0), path, "1900-01-01")
+    return spark.read.schema("id string, titulo string, fecha date").parquet(path).select("id", "fecha", "titulo")
 
 
 @query("WITH p AS (SELECT id, unnest(plazas) AS p FROM convocatoria), s AS (SELECT id, p.turno AS turno, sum(p.numero)::BIGINT AS numero FROM p GROUP BY id, p.turno) SELECT id, turno, numero FROM s")
@@ -483,13 +538,13 @@ def sum_by_key_array(spark, d):
 @query(over_docs(f"id, CASE WHEN {match('titulo', V.ACCESS)} THEN FALSE ELSE {match('titulo', V.POST_TITLE)} OR ({match('texto', V.POST_TEXT)} AND NOT {match('texto', V.FREE_TURN)}) END AS provision"))
 def conv_is_provision(spark, d):
     x = docs(spark, d)
-    return x.select("id", V.is_provision(x.titulo, x.texto).alias("provision"))
+    return x.select("id", V.is_provision(x.titulo, x.texto).alias("provision")).distinct()
 
 
 @query(f"WITH d AS ({DOCS_SQL}) SELECT a.id, a.regimen, CASE WHEN {match('d.texto', V.REGIME)} THEN a.regimen END AS alineado FROM (SELECT id, max(regimen) AS regimen FROM ayuda GROUP BY id) a JOIN d ON a.id = d.id")
 def conv_regime(spark, d):
     a = table(spark, d, "ayuda").groupBy("id").agg(F.max("regimen").alias("regimen")).join(docs(spark, d).select("id", "texto"), "id")
-    return a.select("id", "regimen", V.regime(a.regimen, a.texto).alias("alineado"))
+    return a.select("id", "regimen", V.regime(a.regimen, a.texto).alias("alineado")).distinct()
 
 
 @query(f"WITH x AS (SELECT DISTINCT id, bases_reguladoras AS bases FROM ayuda) SELECT id, CASE WHEN {match('bases', V.NORM[:-2] + '(?:$|[^a-z])', False)} THEN coalesce({rx('bases', V.CITATION)}, bases) ELSE bases END AS bases FROM x")
@@ -517,7 +572,7 @@ def conv_deadline_start(spark, d):
 
 @query(over_docs("id, (CASE WHEN texto IS NULL THEN -1 ELSE len(list_distinct(list_transform(regexp_extract_all(left(texto, 3000), '(?im)^[\\p{L}\\p{N}_]+ (?:plazas?|puestos?) de ([^,.]+?)(?:,| pertenecientes?| por el)', 1), lambda x: lower(trim(x))))) END)::INTEGER AS puestos").replace("-1", "NULL"))
 def distinct_posts(spark, d):
-    return docs(spark, d).select("id", F.when(F.col("texto").isNotNull(), V.many_posts(F.col("texto"))).alias("puestos"))
+    return docs(spark, d).select("id", F.when(F.col("texto").isNotNull(), V.many_posts(F.col("texto"))).alias("puestos")).distinct()
 
 
 # -- display -------------------------------------------------------------------------------------------------
@@ -555,11 +610,11 @@ def report_rows(spark, d):
     return t.select("id", report.row(report.cells("licitacion", F.struct(*t.columns))).alias("fila"))
 
 
-@query(over_docs("id, array_to_string(list_filter(list_transform(string_split(texto, chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\x0B\\f\\r\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{202F}\\x{3000}]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS texto", "WHERE texto IS NOT NULL AND NOT regexp_matches(texto, '[<>&]')"))
+@query(over_docs("id, array_to_string(list_filter(list_transform(string_split(texto, chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\x0B\\f\\r\\x{85}\\x{A0}\\x{2000}-\\x{200A}\\x{202F}\\x{3000}]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS texto", "WHERE texto IS NOT NULL"))
 def html_to_text(spark, d):
-    x = docs(spark, d).filter("texto IS NOT NULL AND NOT texto RLIKE '[<>&]'")
-    page = F.concat(F.lit("<html><style>p {x: y}</style><script>var a = '</p>';</script><!-- <p> -->"), F.concat_ws("", F.transform(F.split("texto", "\n"), lambda line: F.concat(F.lit("<p><b>"), line, F.lit("</b>")))), F.lit("</html>"))
-    return x.select("id", X.html_text(page).alias("texto"))
+    x = docs(spark, d).filter("texto IS NOT NULL")
+    page = F.concat(F.lit("<html><style>p {x: y}</style><script>var a = '</p>';</script><!-- <p> -->"), F.concat_ws("", F.transform(F.split("texto", "\n"), lambda line: F.concat(F.lit("<p><b>"), X.html_escape(line), F.lit("</b>")))), F.lit("</html>"))
+    return x.select("id", X.html_text(page).alias("texto")).dropDuplicates(["id"])
 
 
 # -- tokens and scores ----------------------------------------------------------------------------------------
@@ -575,77 +630,137 @@ def token_f1(spark, d):
     return table(spark, d, "hf").filter("departamento IS NOT NULL AND titulo IS NOT NULL").select("row_id", F.round(X.token_f1(F.col("departamento"), F.col("titulo")), 9).alias("f1"))
 
 
-#: Gold: what the tables of extractions hold for an id; prediction: its last valid label.
-SCALARS = ("organismo", "objeto", "regimen", "bdns_id", "cuantia_total_eur", "importe_max_beneficiario_eur")
-
-
-def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    gold = table(spark, d, "ayuda").groupBy("id").agg(*[F.max(c).alias("g_" + c) for c in SCALARS])
-    label = table(spark, d, "etiquetas").filter("valido AND tipo = 'ayuda'").groupBy("id").agg(F.max_by("json", F.struct("ts", "json")).alias("j"))
-    pred = label.select("id", *[(F.get_json_object("j", f"$.{c}").cast("double") if c in E.AMOUNTS else F.get_json_object("j", f"$.{c}")).alias("p_" + c) for c in SCALARS])
-    return gold.join(pred, "id", "left")
+#: Gold: what the tables of extractions hold for an id; prediction: its last label.
+_LABEL = ("ts", "fuente", "json", "valido", "sin_prellenado")
+
+
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    label = table(spark, d, "etiquetas").select("id", "ts", "fuente", F.coalesce("json", F.lit("")).alias("json"), F.coalesce("valido", F.lit(False)).alias("valido"), F.coalesce("sin_prellenado", F.lit(False)).alias("sin_prellenado"))
+    gold = {t: table(spark, d, t).distinct() for t in PAYLOAD}
+    ids = gold["convocatoria"].select("id").unionByName(gold["ayuda"].select("id")).unionByName(gold["licitacion"].select("id"))
+    texts = docs(spark, d).select("id", "texto").join(ids, "id", "left_semi").dropDuplicates(["id"])
+    return E.evaluation(gold, sampling.latest(label, "id", *_LABEL), texts)
+
+
+def _field_sql(tipo: str, path: str) -> str:
+    """A field's rows: gold and predicted value as text, lists as lists of texts."""
+    kind = kinds(tipo)[path]
+    g, p = f"g.{path}", f"(CASE WHEN valido THEN json END ->> {lit('$.' + path)})"
+    how, text, lists = "igual", (f"{g}::VARCHAR", p), ("NULL::VARCHAR[]", "NULL::VARCHAR[]")
+    if path in ("cpv", "plazas"):
+        of = "lambda x: x" if path == "cpv" else "lambda x: concat_ws(':', x.turno, x.numero)"
+        shape = '["VARCHAR"]' if path == "cpv" else '[{"turno":"VARCHAR","numero":"INTEGER"}]'
+        how, text, lists = "lista", ("NULL", "NULL"), (f"list_transform({g}, {of})", f"list_transform(from_json({p}, {lit(shape)}), {of})")
+    elif kind == "double":
+        how, text = "importe", (f"{g}::VARCHAR", f"{p}::DOUBLE::VARCHAR")
+    elif path.split(".")[0] in E.TEXT:
+        how = "texto"
+    check = "lista" if path == "cpv" else "literal" if path.split(".")[0] in LITERAL else "importe" if kind == "double" else "fecha" if kind == "date" else "no"
+    return f"SELECT g.id, {lit(tipo)} AS tipo, {lit(path)} AS campo, sin, coalesce(valido, FALSE) AS valido, {lit(how)} AS how, {lit(check)} AS mira, {text[0]} AS g, {text[1]} AS p, {lists[0]} AS gl, {lists[1]} AS pl FROM (SELECT DISTINCT * FROM {tipo}) g LEFT JOIN lab ON g.id = lab.id"
+
+
+_months = f"[{', '.join(map(lit, N.MONTHS))}]"
+SCORES_SQL = (
+    "WITH lab AS (SELECT id, j.json AS json, j.valido AS valido, j.sin AS sin FROM (SELECT id, max(struct_pack(ts := ts, fuente := fuente, json := coalesce(json, ''), valido := coalesce(valido, FALSE), sin := coalesce(sin_prellenado, FALSE))) AS j FROM etiquetas GROUP BY id)), "
+    "l AS (" + " UNION ALL ".join(_field_sql(t, f) for t in PAYLOAD for f in fields(t)) + "), "
+    f"w AS (SELECT *, CASE WHEN how = 'texto' THEN {words_sql('g')} END AS a, CASE WHEN mira = 'literal' THEN {words_sql('p')} END AS b FROM l), "
+    f"s AS (SELECT *, CASE WHEN g IS NULL OR p IS NULL THEN NULL WHEN how = 'texto' THEN {f1_sql('a', 'b')} WHEN how = 'importe' THEN (abs(g::DOUBLE - p::DOUBLE) <= 0.01)::INTEGER::DOUBLE ELSE (g = p)::INTEGER::DOUBLE END AS sim, list_distinct(coalesce(gl, [])) AS x, list_distinct(coalesce(pl, [])) AS y FROM w), "
+    "r AS (SELECT *, CASE WHEN how = 'lista' THEN len(list_intersect(x, y)) WHEN g IS NULL OR p IS NULL THEN 0 ELSE sim END::DOUBLE AS tp, CASE WHEN how = 'lista' THEN len(list_filter(y, lambda v: NOT list_contains(x, v))) WHEN p IS NULL THEN 0 WHEN g IS NULL THEN 1 ELSE 1 - sim END::DOUBLE AS fp, "
+    "CASE WHEN how = 'lista' THEN len(list_filter(x, lambda v: NOT list_contains(y, v))) WHEN g IS NULL THEN 0 WHEN p IS NULL THEN 1 ELSE 1 - sim END::DOUBLE AS fn FROM s), "
+)
+#: The same with whether the prediction is missing from the text.
+SEEN_SQL = (
+    SCORES_SQL + f"dd AS ({DOCS_SQL}), tx AS (SELECT id, coalesce(texto, '') AS t, {words_sql('coalesce(texto, chr(32))')} AS tw FROM dd), "
+    "h AS (SELECT r.*, CASE mira WHEN 'lista' THEN CASE WHEN len(pl) > 0 THEN len(list_filter(pl, lambda v: NOT list_contains(coalesce(tw, []), v))) > 0 END WHEN 'literal' THEN CASE WHEN p IS NOT NULL THEN len(list_filter(b, lambda v: list_contains(coalesce(tw, []), v))) < len(b) / 2 END "
+    "WHEN 'importe' THEN CASE WHEN p IS NOT NULL THEN NOT (contains(coalesce(t, ''), replace(format('{:,}', split_part(format('{:.2f}', p::DOUBLE), '.', 1)::BIGINT), ',', '.')) OR contains(coalesce(t, ''), split_part(format('{:.2f}', p::DOUBLE), '.', 1))) OR (split_part(format('{:.2f}', p::DOUBLE), '.', 2) <> '00' AND NOT contains(coalesce(t, ''), ',' || split_part(format('{:.2f}', p::DOUBLE), '.', 2))) END "
+    "WHEN 'fecha' THEN CASE WHEN p IS NOT NULL THEN NOT regexp_matches(coalesce(t, ''), '(?i)(?:^|[^\\p{L}\\p{N}_])0?' || day(p::DATE) || ' de ' || (" + _months + ")[month(p::DATE)] || ' de ' || year(p::DATE) || '|' || day(p::DATE) || '/' || strftime(p::DATE, '%m') || '/' || year(p::DATE)) END END AS alucinado FROM r LEFT JOIN tx ON r.id = tx.id), "
+)
+_f1 = lambda tp, fp, fn: f"CASE WHEN {tp} + {fp} + {fn} = 0 THEN 1.0 ELSE 2 * {tp} / (2 * {tp} + {fp} + {fn}) END::DOUBLE"
+_by = f"f AS (SELECT tipo, campo, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, avg((fp = 0 AND fn = 0)::INTEGER) AS exacto, {_f1('sum(tp)', 'sum(fp)', 'sum(fn)')} AS f1 FROM r GROUP BY tipo, campo) "
+_free = "campo IN ('objeto', 'beneficiarios')"
+_sum = lambda c, w: f"coalesce(sum(CASE WHEN {w} THEN {c} END), 0)"
+_pooled = lambda w: _f1(*[_sum(c, w) for c in ("tp", "fp", "fn")])
 
 
-def _rows(spark: SparkSession, d: str) -> DataFrame:
-    x = _pairs(spark, d)
-    return E.long_rows(x, {c: (x["g_" + c], x["p_" + c]) for c in SCALARS}, ["id"])
+@query(SCORES_SQL.replace(", r AS", ", r0 AS").rstrip(", ") + " SELECT id, tipo, campo, CASE WHEN how = 'lista' THEN len(pl)::VARCHAR WHEN how = 'importe' THEN format('{:.2f}', p::DOUBLE) ELSE p END AS valor FROM l")
+def eval_flatten(spark, d):
+    label = table(spark, d, "etiquetas").select("id", "ts", "fuente", F.coalesce("json", F.lit("")).alias("json"), F.coalesce("valido", F.lit(False)).alias("valido"), F.coalesce("sin_prellenado", F.lit(False)).alias("sin_prellenado"))
+    label = sampling.latest(label, "id", *_LABEL)
 
+    def shown(path: str, c):
+        if path in E.LISTS:
+            return F.when(c.isNotNull(), F.size(c)).cast("string")
+        return F.when(c.isNotNull(), F.format_string("%.2f", c)) if path in E.AMOUNTS else c.cast("string")
 
-def _sim(c: str) -> str:
-    if c in E.TEXT:
-        return f1_sql("a", "b")
-    return "(abs(g::DOUBLE - p::DOUBLE) <= 0.01)::INTEGER::DOUBLE" if c in E.AMOUNTS else "(g = p)::INTEGER::DOUBLE"
+    out = None
+    for tipo in PAYLOAD:
+        x = table(spark, d, tipo).select("id").distinct().join(label, "id", "left").select("id", F.when(F.col("valido"), F.from_json("json", struct(tipo))).alias("p"))
+        one = x.select("id", F.lit(tipo).alias("tipo"), F.explode(F.array(*[F.struct(F.lit(k).alias("campo"), shown(k, c).alias("valor")) for k, c in E.flatten(tipo, F.col("p")).items()])).alias("r")).select("id", "tipo", "r.*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-EVAL_SQL = (
-    "WITH gold AS (SELECT id, " + ", ".join(f"max({c}) AS {c}" for c in SCALARS) + " FROM ayuda GROUP BY id), "
-    "lab AS (SELECT id, max_by(json, struct_pack(ts, json)) AS j FROM etiquetas WHERE valido AND tipo = 'ayuda' GROUP BY id), "
-    "l AS (" + " UNION ALL ".join(f"SELECT gold.id, '{c}' AS campo, {c}::VARCHAR AS g, j ->> '{c}' AS p FROM gold LEFT JOIN lab ON gold.id = lab.id" for c in SCALARS) + "), "
-    f"w AS (SELECT *, {words_sql('g')} AS a, {words_sql('p')} AS b FROM l), "
-    "s AS (SELECT *, CASE WHEN g IS NULL OR p IS NULL THEN 0 " + " ".join(f"WHEN campo = '{c}' THEN {_sim(c)}" for c in SCALARS) + " END::DOUBLE AS sim FROM w), "
-    "r AS (SELECT id, campo, CASE WHEN g IS NULL OR p IS NULL THEN 0 ELSE sim END::DOUBLE AS tp, CASE WHEN p IS NULL THEN 0 WHEN g IS NULL THEN 1 ELSE 1 - sim END::DOUBLE AS fp, CASE WHEN g IS NULL THEN 0 WHEN p IS NULL THEN 1 ELSE 1 - sim END::DOUBLE AS fn FROM s), "
-    "f AS (SELECT campo, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, avg((fp = 0 AND fn = 0)::INTEGER) AS exacto, CASE WHEN sum(tp) + sum(fp) + sum(fn) = 0 THEN 1.0 ELSE 2 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)) END::DOUBLE AS f1 FROM r GROUP BY campo) "
-)
+@query(SCORES_SQL.rstrip(", ") + " SELECT id, tipo, campo, round(tp, 6) AS similitud FROM r WHERE how <> 'lista' AND g IS NOT NULL AND p IS NOT NULL")
+def eval_similarity(spark, d):
+    lists = list(E.LISTS)
+    return _scores(spark, d).filter(~F.col("campo").isin(lists) & (F.abs(F.col("tp") + F.col("fp") - 1) < 1e-9) & (F.abs(F.col("fp") - F.col("fn")) < 1e-9)).select("id", "tipo", "campo", F.round("tp", 6).alias("similitud"))
 
 
-@query(EVAL_SQL + "SELECT id, campo, round(tp, 6) AS tp, round(fp, 6) AS fp, round(fn, 6) AS fn FROM r")
+@query(SCORES_SQL.rstrip(", ") + " SELECT id, tipo, campo, round(tp, 6) AS tp, round(fp, 6) AS fp, round(fn, 6) AS fn FROM r")
 def eval_count(spark, d):
-    return _rows(spark, d).select("id", "campo", *[F.round(c, 6).alias(c) for c in ("tp", "fp", "fn")])
+    return _scores(spark, d).select("id", "tipo", "campo", *[F.round(c, 6).alias(c) for c in ("tp", "fp", "fn")])
 
 
-@query(EVAL_SQL + "SELECT campo, round(tp, 4) AS tp, round(fp, 4) AS fp, round(fn, 4) AS fn FROM f")
+@query(SCORES_SQL + _by + "SELECT tipo, campo, round(tp, 4) AS tp, round(fp, 4) AS fp, round(fn, 4) AS fn FROM f")
 def eval_field_counts(spark, d):
-    return E.by_field(_rows(spark, d)).select("campo", *[F.round(c, 4).alias(c) for c in ("tp", "fp", "fn")])
+    return E.by_field(_scores(spark, d), "tipo").select("tipo", "campo", *[F.round(c, 4).alias(c) for c in ("tp", "fp", "fn")])
 
 
-@query(EVAL_SQL + "SELECT campo, round(f1, 6) AS f1, round(exacto, 6) AS exacto FROM f")
+@query(SCORES_SQL + _by + "SELECT tipo, campo, round(f1, 6) AS f1, round(exacto, 6) AS exacto FROM f")
 def eval_field_f1(spark, d):
-    return E.by_field(_rows(spark, d)).select("campo", F.round("f1", 6).alias("f1"), F.round("exacto", 6).alias("exacto"))
+    return E.by_field(_scores(spark, d), "tipo").select("tipo", "campo", F.round("f1", 6).alias("f1"), F.round("exacto", 6).alias("exacto"))
 
 
-_free = "campo IN ('objeto', 'beneficiarios')"
-_micro = lambda w: f"2 * sum(CASE WHEN {w} THEN tp ELSE 0 END) / (2 * sum(CASE WHEN {w} THEN tp ELSE 0 END) + sum(CASE WHEN {w} THEN fp + fn ELSE 0 END))"
+@query(SCORES_SQL + _by + f"SELECT round({_pooled('NOT ' + _free)}, 6) AS micro FROM f")
+def eval_micro(spark, d):
+    return E.summary(E.by_field(_scores(spark, d), "tipo")).select(F.round("micro", 6).alias("micro"))
 
 
-@query(EVAL_SQL + f"SELECT round({_micro('NOT ' + _free)}, 6) AS micro, round(avg(f1), 6) AS macro, round({_micro(_free)}, 6) AS texto_libre FROM f")
-def eval_micro(spark, d):
-    return E.summary(E.by_field(_rows(spark, d))).select(*[F.round(c, 6).alias(c) for c in ("micro", "macro", "texto_libre")])
+@query(SCORES_SQL + _by + f"SELECT round(avg(f1), 6) AS macro FROM f WHERE NOT {_free}")
+def eval_macro(spark, d):
+    return E.summary(E.by_field(_scores(spark, d), "tipo")).select(F.round("macro", 6).alias("macro"))
+
+
+@query(SCORES_SQL + _by + f"SELECT round({_pooled(_free)}, 6) AS texto_libre FROM f")
+def eval_free_text(spark, d):
+    return E.summary(E.by_field(_scores(spark, d), "tipo")).select(F.round("texto_libre", 6).alias("texto_libre"))
 
 
-@query(EVAL_SQL + "SELECT campo, format('| {} | {:.3f} | {:.3f} |', campo, f1, exacto) AS linea FROM f")
+@query(SCORES_SQL + _by + "SELECT tipo || '/' || campo AS campo, format('| {} | {:.3f} | {:.3f} |', tipo || '/' || campo, f1, exacto) AS linea FROM f")
 def metrics_table(spark, d):
-    return report.markdown(E.by_field(_rows(spark, d)))
+    return report.markdown(E.by_field(_scores(spark, d), "tipo").withColumn("campo", F.concat_ws("/", "tipo", "campo")))
 
 
-@query(EVAL_SQL + "SELECT campo, m.k AS metrica, round(m.v, 6) AS valor FROM (SELECT campo, unnest([struct_pack(k := 'f1', v := f1), struct_pack(k := 'exacto', v := exacto::DOUBLE)]) AS m FROM f)")
+@query(SCORES_SQL + _by + "SELECT campo, m.k AS metrica, round(m.v, 6) AS valor FROM (SELECT tipo || '.' || campo AS campo, unnest([struct_pack(k := 'f1', v := f1), struct_pack(k := 'exacto', v := exacto::DOUBLE)]) AS m FROM f)")
 def metrics_long(spark, d):
-    f = E.by_field(_rows(spark, d))
-    return f.select("campo", F.explode(F.create_map(F.lit("f1"), "f1", F.lit("exacto"), "exacto")).alias("metrica", "v")).select("campo", "metrica", F.round("v", 6).alias("valor"))
+    f = E.by_field(_scores(spark, d), "tipo")
+    return f.select(F.concat_ws(".", "tipo", "campo").alias("campo"), F.explode(F.create_map(F.lit("f1"), "f1", F.lit("exacto"), "exacto")).alias("metrica", "v")).select("campo", "metrica", F.round("v", 6).alias("valor"))
 
 
-@query(EVAL_SQL + "SELECT CASE WHEN grouping(campo) = 1 THEN NULL ELSE campo END AS campo, round(sum(tp), 4) AS tp, round(sum(fp), 4) AS fp, round(sum(fn), 4) AS fn FROM r GROUP BY ROLLUP (campo)")
+@query(
+    SEEN_SQL + "n AS (SELECT *, 'todo' AS poblacion FROM h UNION ALL SELECT *, tipo FROM h UNION ALL SELECT *, 'sin_prellenado' FROM h WHERE sin), "
+    f"f AS (SELECT poblacion, tipo, campo, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, count(*) AS n, sum(valido::INTEGER) AS ok, sum(alucinado::INTEGER) AS mal, count(alucinado) AS vistos, {_f1('sum(tp)', 'sum(fp)', 'sum(fn)')} AS f1 FROM n GROUP BY poblacion, tipo, campo) "
+    "SELECT poblacion, sum(CASE WHEN campo IN ('organismo', 'organo_contratacion') THEN n END)::BIGINT AS documentos, round(sum(CASE WHEN campo IN ('organismo', 'organo_contratacion') THEN ok END) / sum(CASE WHEN campo IN ('organismo', 'organo_contratacion') THEN n END), 6) AS validos, "
+    f"round(coalesce(sum(mal) / nullif(sum(vistos), 0), 0), 6)::DOUBLE AS alucinacion, round({_pooled('NOT ' + _free)}, 6) AS micro, round(avg(CASE WHEN NOT {_free} THEN f1 END), 6) AS macro, round({_pooled(_free)}, 6) AS texto_libre FROM f GROUP BY poblacion"
+)
 def eval_rollup(spark, d):
-    return _rows(spark, d).rollup("campo").agg(*[F.round(F.sum(c), 4).alias(c) for c in ("tp", "fp", "fn")])
+    return E.populations(_scores(spark, d)).select("poblacion", "documentos", *[F.round(c, 6).alias(c) for c in ("validos", "alucinacion", "micro", "macro", "texto_libre")])
+
+
+@query(SEEN_SQL.rstrip(", ") + " SELECT tipo, campo, sum(alucinado::INTEGER)::BIGINT AS alucinados, count(alucinado) AS comprobados, round(coalesce(avg(alucinado::INTEGER), 0), 6) AS tasa FROM h GROUP BY tipo, campo HAVING count(alucinado) > 0")
+def halluc_rate(spark, d):
+    a = F.col("alucinado").cast("int")
+    return _scores(spark, d).groupBy("tipo", "campo").agg(F.sum(a).alias("alucinados"), F.count(a).alias("comprobados"), F.round(F.avg(a), 6).alias("tasa")).filter("comprobados > 0")
 
 
 @query("WITH g AS (SELECT DISTINCT ON (id) id, cpv FROM licitacion ORDER BY id, cpv), p AS (SELECT id, regexp_extract_all(max(texto), 'CPV: (\\d{8})', 1) AS c FROM boe_documents WHERE texto IS NOT NULL GROUP BY id) SELECT g.id, len(list_intersect(list_distinct(coalesce(cpv, [])), list_distinct(c)))::DOUBLE AS tp, len(list_filter(list_distinct(c), lambda x: NOT list_contains(coalesce(cpv, []), x)))::DOUBLE AS fp, len(list_filter(list_distinct(coalesce(cpv, [])), lambda x: NOT list_contains(c, x)))::DOUBLE AS fn FROM g JOIN p ON g.id = p.id")
@@ -653,25 +768,25 @@ def set_prf(spark, d):
     g = table(spark, d, "licitacion").groupBy("id").agg(F.min(F.coalesce("cpv", F.array())).alias("cpv"))
     p = docs(spark, d).filter("texto IS NOT NULL").select("id", F.regexp_extract_all("texto", F.lit(r"CPV: (\d{8})"), F.lit(1)).alias("c"))
     x = g.join(p, "id")
-    return x.select("id", E.counts("cpv", x.cpv, x.c).alias("r")).select("id", "r.*")
+    return x.select("id", E.counts("cpv", x.cpv, x.c).alias("r")).select("id", "r.*").distinct()
 
 
 @query(f"WITH d AS ({DOCS_SQL}), x AS (SELECT DISTINCT a.id, a.objeto AS v, coalesce(d.texto, '') AS t FROM ayuda a JOIN d ON a.id = d.id WHERE a.objeto IS NOT NULL), w AS (SELECT id, v, {words_sql('v')} AS a, {words_sql('t')} AS b FROM x) SELECT id, v, len(list_filter(a, lambda y: list_contains(b, y))) < len(a) / 2 AS alucinado FROM w")
 def halluc_literal(spark, d):
     x = table(spark, d, "ayuda").filter("objeto IS NOT NULL").select("id", F.col("objeto").alias("v")).distinct().join(docs(spark, d).select("id", F.coalesce("texto", F.lit("")).alias("t")), "id")
-    return x.select("id", "v", E.hallucinated_literal(x.v, x.t).alias("alucinado"))
+    return x.select("id", "v", E.hallucinated_literal(x.v, x.t).alias("alucinado")).distinct()
 
 
 @query(f"WITH d AS ({DOCS_SQL}), x AS (SELECT DISTINCT l.id, valor_estimado_eur AS v, coalesce(d.texto, '') AS t FROM licitacion l JOIN d ON l.id = d.id WHERE valor_estimado_eur IS NOT NULL), w AS (SELECT *, format('{{:.2f}}', v) AS s FROM x) SELECT id, v, NOT (contains(t, replace(format('{{:,}}', split_part(s, '.', 1)::BIGINT), ',', '.')) OR contains(t, split_part(s, '.', 1))) OR (split_part(s, '.', 2) <> '00' AND NOT contains(t, ',' || split_part(s, '.', 2))) AS alucinado FROM w")
 def halluc_amount(spark, d):
     x = table(spark, d, "licitacion").filter("valor_estimado_eur IS NOT NULL").select("id", F.col("valor_estimado_eur").alias("v")).distinct().join(docs(spark, d).select("id", F.coalesce("texto", F.lit("")).alias("t")), "id")
-    return x.select("id", "v", E.hallucinated_amount(x.v, x.t).alias("alucinado"))
+    return x.select("id", "v", E.hallucinated_amount(x.v, x.t).alias("alucinado")).distinct()
 
 
 @query(f"WITH d AS ({DOCS_SQL}), x AS (SELECT DISTINCT l.id, fecha_limite_ofertas AS f, coalesce(d.texto, '') AS t FROM licitacion l JOIN d ON l.id = d.id WHERE fecha_limite_ofertas IS NOT NULL) SELECT id, f, NOT regexp_matches(t, '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])0?' || day(f) || ' de ' || {_mes} || ' de ' || year(f) || '|' || day(f) || '/' || strftime(f, '%m') || '/' || year(f)) AS alucinado FROM x")
 def halluc_date(spark, d):
     x = table(spark, d, "licitacion").filter("fecha_limite_ofertas IS NOT NULL").select("id", F.col("fecha_limite_ofertas").alias("f")).distinct().join(docs(spark, d).select("id", F.coalesce("texto", F.lit("")).alias("t")), "id")
-    return x.select("id", "f", E.hallucinated_date(x.f, x.t).alias("alucinado"))
+    return x.select("id", "f", E.hallucinated_date(x.f, x.t).alias("alucinado")).distinct()
 
 
 # -- sources ------------------------------------------------------------------------------------------------------

@@ -31,14 +31,21 @@ def struct(tipo: str) -> T.StructType:
     return T._parse_datatype_string(PAYLOAD[tipo])
 
 
-def fields(tipo: str) -> list[str]:
-    """Dotted paths of a payload: structs are opened, lists aren't."""
-    out = []
-    for f in struct(tipo).fields:
-        out += [f"{f.name}.{g.name}" for g in f.dataType.fields] if isinstance(f.dataType, T.StructType) else [f.name]
+def kinds(tipo: str) -> dict[str, str]:
+    """The type of each dotted path of a payload: structs are opened, lists aren't."""
+    out = {}
+    for name, kind in (part.split(" ", 1) for part in PAYLOAD[tipo].split(", ")):
+        if kind.startswith("struct<"):
+            out |= {f"{name}.{n}": k for n, k in (x.split(":") for x in kind[len("struct<") : -1].split(","))}
+        else:
+            out[name] = kind
     return out
 
 
+def fields(tipo: str) -> list[str]:
+    return list(kinds(tipo))
+
+
 def json_schema(tipo: str) -> dict:
     """The payload as a closed JSON Schema."""
 
