@@ -37,7 +37,7 @@ def _char_class(chars: list[str]) -> str:
         if following is None or ord(following) != ord(c) + 1:
             out.append(rf"\x{{{ord(first):X}}}-\x{{{ord(c):X}}}")
             first = None
-    return "[" + "".join(out) + "]"
+    return rf"[\x{{{ord(chars[0]):X}}}-\x{{10FFFF}}&&[" + "".join(out) + "]]"  # most characters are below all of them
 
 
 def pattern(p: str, flags: str = "iuUd") -> str:
@@ -125,12 +125,20 @@ def tokens(c: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(fold(c), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)), F.array().cast("array<string>"))
 
 
+def let(columns: dict[str, Column], body) -> Column:
+    """`body` of a struct of the columns, which are evaluated once however often body uses them (functions over arrays evaluate what isn't bound for each element)."""
+    return F.transform(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])), body)[0]
+
+
 def token_f1(a: Column, b: Column) -> Column:
     """Overlap of two texts' words as multisets, as an F1; 0 without common words."""
-    x, y = tokens(a), tokens(b)
     times = lambda arr, w: F.size(F.filter(arr, lambda t: t == w))
-    common = F.aggregate(F.array_distinct(x), F.lit(0), lambda acc, w: acc + F.least(times(x, w), times(y, w)))
-    return F.when(common == 0, F.lit(0.0)).otherwise(2.0 * common / (F.size(x) + F.size(y)))
+
+    def overlap(v: Column) -> Column:
+        common = F.aggregate(F.array_distinct(v["x"]), F.lit(0), lambda acc, w: acc + F.least(times(v["x"], w), times(v["y"], w)))
+        return F.when(common == 0, F.lit(0.0)).otherwise(2.0 * common / (F.size(v["x"]) + F.size(v["y"])))
+
+    return let({"x": tokens(a), "y": tokens(b)}, overlap)
 
 
 def html_escape(c: Column) -> Column:

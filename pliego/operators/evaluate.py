@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pliego.functions.normalize import MONTHS
-from pliego.functions.text import token_f1, tokens
+from pliego.functions.text import let, token_f1, tokens
 from pliego.schemas import AMOUNTS, FREE, LISTS, LITERAL, PAYLOAD, TEXT, fields, struct
 
 
@@ -26,10 +26,10 @@ def counts(field: str, g: Column, p: Column) -> Column:
         canon = lambda c: F.array_distinct(F.transform(F.coalesce(c, F.array()), lambda x: x if field == "cpv" else F.to_json(x)))
         a, b = canon(g), canon(p)
         return F.struct(F.size(F.array_intersect(a, b)).cast("double").alias("tp"), F.size(F.array_except(b, a)).cast("double").alias("fp"), F.size(F.array_except(a, b)).cast("double").alias("fn"))
-    s = similarity(field, g, p)
+    alike = similarity(field, g, p)
     one = F.when(g.isNull() & p.isNull(), F.struct(F.lit(0.0).alias("tp"), F.lit(0.0).alias("fp"), F.lit(0.0).alias("fn")))
     one = one.when(g.isNull(), F.struct(F.lit(0.0).alias("tp"), F.lit(1.0).alias("fp"), F.lit(0.0).alias("fn"))).when(p.isNull(), F.struct(F.lit(0.0).alias("tp"), F.lit(0.0).alias("fp"), F.lit(1.0).alias("fn")))
-    return one.otherwise(F.struct(s.alias("tp"), (1 - s).alias("fp"), (1 - s).alias("fn")))
+    return one.otherwise(let({"s": alike}, lambda v: F.struct(v["s"].alias("tp"), (1 - v["s"]).alias("fp"), (1 - v["s"]).alias("fn"))))
 
 
 def long_rows(df: DataFrame, pairs: dict[str, tuple[Column, Column]], keep: list[str]) -> DataFrame:
@@ -79,8 +79,8 @@ def hallucinated_literal(value: Column, text: Column) -> Column:
 
 def uncovered(value: Column, have: Column) -> Column:
     """The same with the text's words."""
-    words = tokens(value)
-    return F.when(value.isNotNull(), F.size(F.filter(words, lambda w: F.array_contains(have, w))) < F.size(words) / 2)
+    missing = lambda v: F.size(F.filter(v["words"], lambda w: F.array_contains(v["have"], w))) < F.size(v["words"]) / 2
+    return F.when(value.isNotNull(), let({"words": tokens(value), "have": have}, missing))
 
 
 def hallucinated_amount(value: Column, text: Column) -> Column:
@@ -99,43 +99,63 @@ def hallucinated_date(value: Column, text: Column) -> Column:
     return F.when(value.isNotNull(), ~F.regexp_like(text, p))
 
 
-def hallucinated(path: str, value: Column, text: Column, words: Column) -> Column:
-    """Whether a field's value is missing from the text (`words` are its words); null for a null value, an empty list, and fields that can't be checked."""
+def flatten(tipo: str, data: Column) -> dict[str, Column]:
+    """The fields of a payload by their paths; null where the payload or a parent is null."""
+    return {path: data[path.split(".")[0]][path.split(".")[1]] if "." in path else data[path] for path in fields(tipo)}
+
+
+def compared(path: str) -> str:
+    """How two values of a field are compared: "lista", "texto", "importe" or "igual"."""
+    base = path.split(".")[0]
+    return "lista" if base in LISTS else "texto" if base in TEXT else "importe" if base in AMOUNTS else "igual"
+
+
+def checked(path: str) -> str:
+    """How a value is sought in the text: "codigos" (a list of them), "literal", "importe", "fecha", or "no"."""
     base = path.split(".")[0]
     if base == "cpv":
-        return F.when(F.size(value) > 0, F.exists(value, lambda x: F.coalesce(uncovered(x, words), F.lit(False))))
-    if base in LITERAL:
-        return uncovered(value, words)
-    if base in AMOUNTS:
-        return hallucinated_amount(value, text)
-    if path.endswith("fecha_fin") or base == "fecha_limite_ofertas":
-        return hallucinated_date(value, text)
-    return F.lit(None).cast("boolean")
+        return "codigos"
+    return "literal" if base in LITERAL else "importe" if base in AMOUNTS else "fecha" if path.endswith("fecha_fin") or base == "fecha_limite_ofertas" else "no"
 
 
-def flatten(tipo: str, data: Column) -> dict[str, Column]:
-    """The fields of a payload by their paths; null where the payload or a parent is null."""
-    return {path: data[path.split(".")[0]][path.split(".")[1]] if "." in path else data[path] for path in fields(tipo)}
+def entries(path: str, value: Column) -> Column:
+    """A list's entries as texts; null for what is no list."""
+    return value if path == "cpv" else F.transform(value, lambda x: F.concat_ws(":", x["turno"], x["numero"])) if path == "plazas" else F.lit(None).cast("array<string>")
 
 
 def evaluation(gold: dict[str, DataFrame], predictions: DataFrame, texts: DataFrame) -> DataFrame:
-    """`id, tipo, sin_prellenado, valido, campo, tp, fp, fn, alucinado`: every field of every gold record.
+    """`id, tipo, sin_prellenado, valido, campo, similitud, tp, fp, fn, alucinado`: every field of every gold record.
 
     gold: by kind, `id` and the payload's columns, one row per id; predictions: one row per id with json, valido and
     sin_prellenado; texts: id, texto.  A missing or invalid prediction has no values; a missing text is empty.  All
-    populations are groups of these rows: one pass, whatever is asked for.
+    populations are groups of these rows: one pass, whatever is asked for.  `similitud` is null where a value is missing
+    and for lists; `alucinado` for what can't be sought in a text.
     """
+    said = predictions.select("id", "sin_prellenado", F.coalesce("valido", F.lit(False)).alias("valido"), "json")
     out = None
     for tipo in PAYLOAD:
         known = gold[tipo].select("id", F.struct(*[f.name for f in struct(tipo).fields]).alias("g"))
-        said = predictions.select("id", "sin_prellenado", F.coalesce("valido", F.lit(False)).alias("valido"), F.when(F.col("valido"), F.from_json("json", struct(tipo), {"dateFormat": "yyyy-MM-dd"})).alias("p"))
-        both = known.join(said, "id", "left").join(texts, "id", "left").select("id", "sin_prellenado", F.coalesce("valido", F.lit(False)).alias("valido"), "g", "p", F.coalesce("texto", F.lit("")).alias("texto"))
-        both = both.withColumn("palabras", tokens(F.col("texto")))
+        both = known.join(said, "id", "left").select("id", "sin_prellenado", F.coalesce("valido", F.lit(False)).alias("valido"), "g", F.when(F.col("valido"), F.from_json("json", struct(tipo), {"dateFormat": "yyyy-MM-dd"})).alias("p"))
         g, p = flatten(tipo, F.col("g")), flatten(tipo, F.col("p"))
-        rows = F.array(*[F.struct(F.lit(k).alias("campo"), counts(k, g[k], p[k]).alias("c"), hallucinated(k, p[k], F.col("texto"), F.col("palabras")).alias("alucinado")) for k in g])
-        one = both.select("id", F.lit(tipo).alias("tipo"), "sin_prellenado", "valido", F.explode(rows).alias("r")).select("id", "tipo", "sin_prellenado", "valido", "r.campo", "r.c.*", "r.alucinado")
+        text = lambda k, c: F.lit(None).cast("string") if compared(k) == "lista" else c.cast("string")
+        rows = [F.struct(F.lit(k).alias("campo"), F.lit(compared(k)).alias("como"), F.lit(checked(k)).alias("mira"), text(k, g[k]).alias("g"), text(k, p[k]).alias("p"), entries(k, g[k]).alias("gl"), entries(k, p[k]).alias("pl")) for k in g]
+        one = both.select("id", F.lit(tipo).alias("tipo"), "sin_prellenado", "valido", F.explode(F.array(*rows)).alias("r")).select("id", "tipo", "sin_prellenado", "valido", "r.*")
         out = one if out is None else out.unionByName(one)
-    return out
+    words = texts.select("id", F.coalesce("texto", F.lit("")).alias("texto")).withColumn("palabras", tokens(F.col("texto")))
+    none = F.array().cast("array<string>")
+    out = out.join(words, "id", "left").withColumn("texto", F.coalesce("texto", F.lit(""))).withColumn("palabras", F.coalesce("palabras", none))
+    g, p, how, look = (F.col(c) for c in ("g", "p", "como", "mira"))
+    alike = F.when(how == "texto", token_f1(g, p)).when(how == "importe", (F.abs(g.cast("double") - p.cast("double")) <= 0.01).cast("double")).when(how == "igual", (g == p).cast("double"))
+    out = out.withColumn("similitud", F.when(g.isNotNull() & p.isNotNull(), alike))
+    s, x, y = F.col("similitud"), F.coalesce("gl", none), F.coalesce("pl", none)
+    listed = how == "lista"
+    number = lambda c: F.size(c).cast("double")
+    tp = F.when(listed, number(F.array_intersect(x, y))).otherwise(F.coalesce(s, F.lit(0.0)))
+    fp = F.when(listed, number(F.array_except(y, x))).when(p.isNull(), 0.0).when(g.isNull(), 1.0).otherwise(1 - s)
+    fn = F.when(listed, number(F.array_except(x, y))).when(g.isNull(), 0.0).when(p.isNull(), 1.0).otherwise(1 - s)
+    lost = F.when(look == "literal", uncovered(p, F.col("palabras"))).when(look == "importe", hallucinated_amount(p.cast("double"), F.col("texto"))).when(look == "fecha", hallucinated_date(p.try_cast("date"), F.col("texto")))
+    lost = lost.when((look == "codigos") & (F.size("pl") > 0), F.size(F.array_except(F.transform("pl", F.lower), F.col("palabras"))) > 0)
+    return out.select("id", "tipo", "sin_prellenado", "valido", "campo", "similitud", tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), lost.alias("alucinado"))
 
 
 def populations(rows: DataFrame) -> DataFrame:

@@ -702,8 +702,7 @@ def eval_flatten(spark, d):
 
 @query(SCORES_SQL.rstrip(", ") + " SELECT id, tipo, campo, round(tp, 6) AS similitud FROM r WHERE how <> 'lista' AND g IS NOT NULL AND p IS NOT NULL")
 def eval_similarity(spark, d):
-    lists = list(E.LISTS)
-    return _scores(spark, d).filter(~F.col("campo").isin(lists) & (F.abs(F.col("tp") + F.col("fp") - 1) < 1e-9) & (F.abs(F.col("fp") - F.col("fn")) < 1e-9)).select("id", "tipo", "campo", F.round("tp", 6).alias("similitud"))
+    return _scores(spark, d).filter("similitud IS NOT NULL").select("id", "tipo", "campo", F.round("similitud", 6).alias("similitud"))
 
 
 @query(SCORES_SQL.rstrip(", ") + " SELECT id, tipo, campo, round(tp, 6) AS tp, round(fp, 6) AS fp, round(fn, 6) AS fn FROM r")
