@@ -166,7 +166,8 @@ PIECE = r"[ \t\n\f\r]*(?:[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\f\r])"
 def truncate_tokens(c: Column, most: int, piece: str = PIECE) -> Column:
     """The text up to the end of its token `most`; unchanged if it has no more tokens.  Null stays null."""
     pieces = F.regexp_extract_all(c, F.lit(piece), F.lit(0))
-    return F.when(F.size(pieces) > most, F.array_join(F.slice(pieces, 1, most), "")).otherwise(c)
+    # a text of so few characters has no more tokens
+    return F.when(F.length(c) <= most, c).when(F.size(pieces) > most, F.array_join(F.slice(pieces, 1, most), "")).otherwise(c)
 
 
 def try_int(c: Column) -> Column:

@@ -29,6 +29,13 @@ def patch(data: dict, changes: dict) -> dict:
     return out
 
 
+def pending_decisions(reviews: DataFrame) -> None:
+    """Raises if a review has no decision yet, naming some of them."""
+    open_ = [r.n for r in reviews.filter(F.col("decision").isNull()).select("n").orderBy("n").limit(20).collect()]
+    if open_:
+        raise ValueError(f"reviews without a decision: {open_}")
+
+
 def apply_reviews(gold: DataFrame, reviews: DataFrame) -> DataFrame:
     """`id, tipo, json, revision`: gold records that aren't discarded, under their accepted changes in order of `n`.
 

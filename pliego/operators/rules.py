@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pliego.functions.normalize import amount, date, deadline, number
-from pliego.functions.text import first_match, group, label_line, section, title_case, window_after
+from pliego.functions.normalize import amount, date, deadline, impossible_date, number
+from pliego.functions.text import first_match, group, label_line, section, title_case, truncate_tokens, window_after
+from pliego.operators.validate import errors
 
 # -- fixed values ----------------------------------------------------------------------------------------
 BODY = r", (?:de|del) (?:la |el |los |las )?(.+?)(?: \([^)]*\))?, (?:por (?:la|el) que|referente)"
@@ -81,9 +82,21 @@ def tender(titulo: Column, departamento: Column, texto: Column) -> Column:
     )
 
 
-def extract(df: DataFrame) -> DataFrame:
-    """`id, tipo, json` of documents of the three kinds, with every field; rows of another kind have a null json.  A null text counts as empty."""
-    text = F.coalesce(df.texto, F.lit(""))
-    made = {"convocatoria": job_call(df.titulo, df.departamento, df.subtipo, text), "ayuda": grant(df.titulo, df.departamento, text), "licitacion": tender(df.titulo, df.departamento, text)}
+#: Tokens of a text that rules see (fixed value).
+MOST_TOKENS = 6144
+
+
+def extract(df: DataFrame, most: int = MOST_TOKENS) -> DataFrame:
+    """`id, tipo, json, valido` of documents of the three kinds, with every field, read from the first `most` tokens of the text; a null text counts as empty.
+
+    Rows of another kind have a null json and aren't valid.  A record is valid if its payload is one of its kind's
+    schema and no date that a rule read names a day that doesn't exist.
+    """
+    df = df.withColumn("texto", truncate_tokens(F.coalesce(df.texto, F.lit("")), most))
+    text = F.col("texto")
+    made = {"convocatoria": job_call(F.col("titulo"), F.col("departamento"), F.col("subtipo"), text), "ayuda": grant(F.col("titulo"), F.col("departamento"), text), "licitacion": tender(F.col("titulo"), F.col("departamento"), text)}
+    read = {"ayuda": window_after(text, r"plazo de presentaci[oó]n", 400), "licitacion": label_line(text, "Plazo para la recepción de ofertas")}
     keep = {"ignoreNullFields": "false"}
-    return df.select("id", "tipo", F.coalesce(*[F.when(df.tipo == k, F.to_json(v, keep)) for k, v in made.items()]).alias("json"))
+    wrong = F.coalesce(*[F.when(F.col("tipo") == k, impossible_date(v)) for k, v in read.items()], F.lit(False))
+    out = df.select("id", "tipo", F.coalesce(*[F.when(F.col("tipo") == k, F.to_json(v, keep)) for k, v in made.items()]).alias("json"), wrong.alias("_wrong"))
+    return out.select("id", "tipo", "json", (errors(F.col("tipo"), F.col("json")).isNull() & ~F.col("_wrong")).alias("valido"))

@@ -58,6 +58,14 @@ def pending(df: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
+def matched(wanted: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
+    """`found` for every wanted key, strictly: raises if a key is missing."""
+    lost = [r[0] for r in wanted.select(key).join(found.select(key), key, "left_anti").limit(20).collect()]
+    if lost:
+        raise KeyError(f"missing: {lost}")
+    return found.join(wanted.select(key).distinct(), key, "left_semi")
+
+
 def is_validation(key: Column, share: int = 50) -> Column:
     """Whether md5(key) mod 1000 is below `share`: the 128 bits are folded by their four words (2^32 mod 1000 = 296)."""
     h, acc = F.md5(key), F.lit(0).cast("long")

@@ -575,6 +575,46 @@ def distinct_posts(spark, d):
     return docs(spark, d).select("id", F.when(F.col("texto").isNotNull(), V.many_posts(F.col("texto"))).alias("puestos")).distinct()
 
 
+def _align_sql(t: str) -> str:
+    """A payload's columns under the conventions; x holds a row of the table, its title and text."""
+    p = "x.plazo_solicitudes"
+    month = f"({p}.fecha_fin IS NULL AND coalesce({p}.dias, 1) = 1 AND {match(after('x.texto', V.FILING, 400), '(?:^|[^a-z0-9_])un mes(?:$|[^a-z0-9_])')})"
+    day, year = f"day({p}.fecha_fin)", f"year({p}.fecha_fin)"
+    name = f"'(?:^|[^a-z0-9_])0?' || {day} || ' de ' || ([{', '.join(map(lit, N.MONTHS))}])[month({p}.fecha_fin)]"
+    full, short = (f"'(?s)^(.*?)' || {name}{y}" for y in (f" || ' de ' || {year}", ""))
+    low = "lower(coalesce(x.texto, ''))"
+    before = f"right(CASE WHEN regexp_matches({low}, {full}) THEN regexp_extract({low}, {full}, 1) WHEN regexp_matches({low}, {short}) THEN regexp_extract({low}, {short}, 1) ELSE '' END, 299)"
+    since = f"CASE WHEN {match(before, V.FIXED_START)} THEN 'otro' WHEN contains({before}, 'publicaci') THEN 'publicacion_boe' END"
+    term = f"CASE WHEN {month} THEN 30 ELSE {p}.dias END AS dias, CASE WHEN {month} THEN 'naturales' ELSE {p}.tipo END AS tipo_plazo, CASE WHEN {p}.fecha_fin IS NOT NULL AND {p}.dias IS NULL THEN {since} ELSE {p}.desde END AS desde"
+    if t == "ayuda":
+        bases = f"CASE WHEN {match('x.bases_reguladoras', V.NORM[:-2] + '(?:$|[^a-z])', False)} THEN coalesce({rx('x.bases_reguladoras', V.CITATION)}, x.bases_reguladoras) ELSE x.bases_reguladoras END"
+        return f"SELECT x.id, 'ayuda' AS tipo, {term}, CASE WHEN {match('x.texto', V.REGIME)} THEN x.regimen END AS regimen, {bases} AS bases, NULL AS puesto, NULL AS plazas FROM x"
+    provision = f"(NOT {match('x.titulo', V.ACCESS)} AND ({match('x.titulo', V.POST_TITLE)} OR ({match('x.texto', V.POST_TEXT)} AND NOT {match('x.texto', V.FREE_TURN)})))"
+    turns = f"list_transform(x.plazas, lambda p: struct_pack(t := CASE WHEN p.turno = 'libre' AND {provision} THEN 'otro' ELSE p.turno END, n := p.numero))"
+    summed = "array_to_string(list_sort(list_transform(list_distinct(list_transform(tt, lambda p: p.t)), lambda t: t || ':' || list_sum(list_transform(list_filter(tt, lambda p: p.t = t), lambda p: p.n))::BIGINT)), ',')"
+    names = "len(list_distinct(list_transform(regexp_extract_all(left(x.texto, 3000), '(?im)^[\\p{L}\\p{N}_]+ (?:plazas?|puestos?) de ([^,.]+?)(?:,| pertenecientes?| por el)', 1), lambda w: lower(trim(w)))))"
+    return f"SELECT x.id, 'convocatoria' AS tipo, {term}, NULL AS regimen, NULL AS bases, CASE WHEN {names} <= 1 THEN x.puesto END AS puesto, {summed} AS plazas FROM (SELECT x.*, {turns} AS tt FROM x) x"
+
+
+_joined = lambda t: f"SELECT DISTINCT t.*, d.titulo, d.texto FROM {t} t JOIN d ON t.id = d.id WHERE d.texto IS NOT NULL AND d.titulo IS NOT NULL"
+
+
+@query(f"WITH d AS ({DOCS_SQL}), ay AS ({_align_sql('ayuda').replace('FROM x', 'FROM (' + _joined('ayuda') + ') x')}), co AS ({_align_sql('convocatoria').replace('FROM x)', 'FROM (' + _joined('convocatoria') + ') x)')}) SELECT * FROM ay UNION ALL SELECT * FROM co")
+def conv_align(spark, d):
+    text = docs(spark, d).select("id", "titulo", "texto").filter("texto IS NOT NULL AND titulo IS NOT NULL")
+    none = F.lit(None).cast("string")
+    out = None
+    for tipo in ("ayuda", "convocatoria"):
+        x = table(spark, d, tipo).distinct().join(text, "id")
+        x = x.select("id", V.align(tipo, F.struct(*[f.name for f in struct(tipo).fields]), F.col("titulo"), F.col("texto")).alias("v"))
+        turns = F.array_join(F.array_sort(F.transform("v.plazas", lambda p: F.concat_ws(":", p["turno"], p["numero"]))), ",") if tipo == "convocatoria" else none
+        term = F.col("v.plazo_solicitudes")
+        regime = (F.col("v.regimen"), F.col("v.bases_reguladoras")) if tipo == "ayuda" else (none, none)
+        one = x.select("id", F.lit(tipo).alias("tipo"), term["dias"].alias("dias"), term["tipo"].alias("tipo_plazo"), term["desde"].alias("desde"), regime[0].alias("regimen"), regime[1].alias("bases"), (F.col("v.puesto") if tipo == "convocatoria" else none).alias("puesto"), turns.alias("plazas")).distinct()
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # -- display -------------------------------------------------------------------------------------------------
 
 

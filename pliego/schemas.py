@@ -58,3 +58,8 @@ def json_schema(tipo: str) -> dict:
         return {"type": kind} | ({"enum": list(ENUMS[name])} if name in ENUMS else {}) | ({"format": "date"} if t.simpleString() == "date" else {})
 
     return of("", struct(tipo)) | {"required": list(REQUIRED[tipo]), "title": tipo}
+
+
+def empty(tipo: str) -> dict:
+    """A payload without values: lists are empty, all else is null."""
+    return {name: [] if kind.startswith("array") else None for name, kind in (part.split(" ", 1) for part in PAYLOAD[tipo].split(", "))}

@@ -36,7 +36,7 @@ def day(summary: DataFrame, documents: DataFrame, extractor: Callable[[DataFrame
     """Extractions of a day's candidates whose document was found, with `error` (null if valid)."""
     found = classify(summary).join(documents.select("id", "texto"), "id", "inner")
     made = extractor(found.select("id", "tipo", "subtipo", "titulo", "departamento", "texto"))
-    valid = made.withColumn("error", errors(F.col("tipo"), F.col("json")))
+    valid = made.select("id", "tipo", "json").withColumn("error", errors(F.col("tipo"), F.col("json")))
     return found.select("id", "fecha", "subtipo", "titulo", "departamento", "url_html").join(valid, "id")
 
 
