@@ -71,6 +71,58 @@ def test_tokens(spark):
     assert got == [0.5, 0.0, 1.0]
 
 
+def test_fold_is_unicode(spark):
+    """Case folding and compatibility decomposition, on every assigned character of the first two planes."""
+    import unicodedata
+
+    known = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
+    texts = ["".join(known[k : k + 300]) for k in range(0, len(known), 300)] + ["n.º 1ª ﬁn Straße ½ İ", ""]
+    want = ["".join(c for c in unicodedata.normalize("NFKD", t.casefold()) if not unicodedata.combining(c)) for t in texts]
+    got = spark.createDataFrame(list(enumerate(texts)), "k int, a string").select("k", X.fold(F.col("a"))).collect()
+    assert [r[1] for r in sorted(got)] == want
+    assert one(spark, ["n.º 1ª", None], X.tokens(F.col("a"))) == [["n", "o", "1a"], []]
+
+
+def test_truncate(spark):
+    assert one(spark, ["uno, dos  tres", "uno", "", None, "a b c d e "], X.truncate_tokens(F.col("a"), 3)) == ["uno, dos", "uno", "", None, "a b c"]
+
+
+def test_whole_evaluation(spark):
+    """Two tenders of which one has a prediction, by hand; and the populations of them."""
+    shape = "id string, " + schemas.PAYLOAD["licitacion"]
+    row = lambda i: (i, "Junta", "Obra", None, "abierto", None, None, None, None, ["1"], None, None)
+    gold = {t: spark.createDataFrame([row("a"), row("b")] if t == "licitacion" else [], shape if t == "licitacion" else f"id string, {schemas.PAYLOAD[t]}") for t in schemas.PAYLOAD}
+    said = spark.createDataFrame([("a", json.dumps({"organo_contratacion": "Junta", "objeto": "Obra", "procedimiento": "abierto", "cpv": ["1"], "valor_estimado_eur": 5.5}), True, True), ("b", "{", False, False)], "id string, json string, valido boolean, sin_prellenado boolean")
+    texts = spark.createDataFrame([("a", "La Junta licita la obra; CPV 1; 5,50 euros"), ("b", None)], "id string, texto string")
+    rows = evaluate.evaluation(gold, said, texts)
+    got = {(r.id, r.campo): (r.tp, r.fp, r.fn, r.alucinado) for r in rows.collect()}
+    assert len(got) == 22 and got["a", "procedimiento"] == (1, 0, 0, None) and got["b", "procedimiento"] == (0, 0, 1, None) and got["a", "cpv"] == (1, 0, 0, False)
+    assert got["a", "valor_estimado_eur"] == (0, 1, 0, False) and got["a", "lotes"] == (0, 0, 0, None) and got["a", "objeto"][3] is False
+    p = {r.poblacion: r for r in evaluate.populations(rows).collect()}
+    assert set(p) == {"todo", "licitacion", "sin_prellenado"} and p["todo"].documentos == 2 and p["todo"].validos == 0.5 and p["sin_prellenado"].validos == 1
+    assert abs(p["todo"].micro - 6 / (6 + 1 + 3)) < 1e-9 and abs(p["todo"].texto_libre - 2 / 3) < 1e-9 and p["todo"].alucinacion == 0
+
+
+def test_queue_and_strictness(spark):
+    r = [(f"BOE-{k % 7}-{k:03}", "x" if k % 3 else None, "abc"[k % 2]) for k in range(60)]
+    df = spark.createDataFrame(r, "id string, tipo string, grupo string")
+    got = {x.id: x.orden for x in sampling.queued(df, "tipo", "grupo", "id", "orden", bucket=5).collect()}
+    for t in ("x", None):
+        assert [got[i] for _, i in sorted((g, i) for i, tt, g in r if tt == t)] == list(range(1, 1 + sum(tt == t for _, tt, _ in r)))
+    assert sampling.matched(df.limit(3), df).count() == 3
+    with pytest.raises(KeyError):
+        sampling.matched(spark.createDataFrame([("no",)], "id string"), df)
+    with pytest.raises(ValueError):
+        review.pending_decisions(spark.createDataFrame([(1, "aceptada"), (2, None)], "n int, decision string"))
+    review.pending_decisions(spark.createDataFrame([(1, "aceptada")], "n int, decision string"))
+    assert schemas.empty("convocatoria")["plazas"] == [] and schemas.empty("ayuda")["plazo_solicitudes"] is None
+
+
+def test_rules_are_validated(spark):
+    df = spark.createDataFrame([("1", "licitacion", None, "T", "D", "5. Plazo para la recepción de ofertas:\nHasta el 31 de febrero de 2026"), ("2", "licitacion", None, "T", "D", "5. Plazo para la recepción de ofertas:\nHasta el 3 de febrero de 2026"), ("3", "licitacion", None, "T", None, ""), ("4", "otro", None, "T", "D", "x")], "id string, tipo string, subtipo string, titulo string, departamento string, texto string")
+    assert {r.id: r.valido for r in rules.extract(df).collect()} == {"1": False, "2": True, "3": False, "4": False}
+
+
 @pytest.mark.parametrize(
     ("section", "epigraph", "title", "kind", "sub"),
     [
