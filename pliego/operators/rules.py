@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pliego.functions.normalize import amount, date, deadline, impossible_date, number
-from pliego.functions.text import first_match, group, label_line, section, title_case, truncate_tokens, window_after
-from pliego.operators.validate import errors
+from pliego.functions.text import first_match, group, label_line, let, section, title_case, truncate_tokens, window_after
+from pliego.schemas import REQUIRED
 
 # -- fixed values ----------------------------------------------------------------------------------------
 BODY = r", (?:de|del) (?:la |el |los |las )?(.+?)(?: \([^)]*\))?, (?:por (?:la|el) que|referente)"
@@ -97,6 +100,8 @@ def extract(df: DataFrame, most: int = MOST_TOKENS) -> DataFrame:
     made = {"convocatoria": job_call(F.col("titulo"), F.col("departamento"), F.col("subtipo"), text), "ayuda": grant(F.col("titulo"), F.col("departamento"), text), "licitacion": tender(F.col("titulo"), F.col("departamento"), text)}
     read = {"ayuda": window_after(text, r"plazo de presentaci[oó]n", 400), "licitacion": label_line(text, "Plazo para la recepción de ofertas")}
     keep = {"ignoreNullFields": "false"}
-    wrong = F.coalesce(*[F.when(F.col("tipo") == k, impossible_date(v)) for k, v in read.items()], F.lit(False))
+    wrong = F.coalesce(*[F.when(F.col("tipo") == k, let({"t": v}, lambda x: impossible_date(x["t"]))) for k, v in read.items()], F.lit(False))
     out = df.select("id", "tipo", F.coalesce(*[F.when(F.col("tipo") == k, F.to_json(v, keep)) for k, v in made.items()]).alias("json"), wrong.alias("_wrong"))
-    return out.select("id", "tipo", "json", (errors(F.col("tipo"), F.col("json")).isNull() & ~F.col("_wrong")).alias("valido"))
+    # types, vocabularies and field names hold by the making; what may be missing is a required field
+    there = [(F.col("tipo") == k) & reduce(and_, [F.get_json_object("json", f"$.{r}").isNotNull() for r in REQUIRED[k]]) for k in made]
+    return out.select("id", "tipo", "json", F.coalesce(reduce(or_, there) & ~F.col("_wrong"), F.lit(False)).alias("valido"))

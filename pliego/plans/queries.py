@@ -94,7 +94,13 @@ def title_sql(c: str) -> str:
 def docs(spark: SparkSession, d: str) -> DataFrame:
     """The documents' rows; repeated rows of an id hold the same text.  Queries extract first and then drop repeated
     outcomes, so that no text is shuffled."""
-    return table(spark, d, "boe_documents")
+    return spread(table(spark, d, "boe_documents"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer partitions than there are cores, dealt out to all of them, since extraction is work for the processor; larger ones stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 DOCS_SQL = "SELECT id, max(tipo) AS tipo, max(subtipo) AS subtipo, max(titulo) AS titulo, max(departamento) AS departamento, max(texto) AS texto FROM boe_documents GROUP BY id"
