@@ -6,9 +6,9 @@ the whole corpus.  A word that stands in a capitalised run before such a number
 discloses a person: its disclosure is the share of its occurrences in that company, and sequences of
 disclosing words are names.  The word before a number discloses the number's class likewise: bare digits
 count as a telephone number where grouped ones stand too.  Terms above the thresholds are replaced by
-typed placeholders.  Counts are by the word.  What they decide goes to all workers for the words that make up
-more than one in KEPT of the corpus, which are KEPT at most however large it is; a rarer word discloses nothing
-by itself and goes with a name beside it where it has a capital.
+typed placeholders.  Counts are by the word, and decide about every word.  Decisions go to all workers, unless
+there are more than KEPT; then those about words that make up more than one in KEPT of the corpus do, which are
+KEPT at most, and each text is lent those about its other words by a join.  The results are the same.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pliego.llm.spark import columns, drop, prepare, stored
+from pliego.llm.spark import columns, drop, lent, prepare, stored
 
-#: Words that decisions are kept for at most.
+#: Decisions that go to all workers at most.
 KEPT = 1 << 21
 #: Least disclosure of a word of a name, least occurrences in company, least share for the word before a number.
 DISCLOSES, LEAST, LABEL = 0.03, 3, 0.15
@@ -184,11 +184,24 @@ class Counts:
 
 
 class Disclosure:
-    """The decisions about words: their numbers, sorted, and bits."""
+    """The decisions about words: their numbers, sorted, and bits; and those lent to the texts at hand."""
 
     def __init__(self, numbers: np.ndarray, bits: np.ndarray):
         self.numbers, self.bits = numbers, bits
         self.cache: dict[str, int] = {}
+        self.lent: dict[int, int] = {}
+
+    def lend(self, decisions: pa.ListArray) -> None:
+        """Takes the decisions about the other words of a batch of texts, in place of the batch's before."""
+        of = decisions.flatten()
+        self.lent = dict(zip(of.field("number").to_pylist(), of.field("bits").to_pylist()))
+
+    def own(self, low: str) -> tuple[int, int]:
+        """The number of a word, and its bits, -1 if it has none here."""
+        n = xxhash.xxh64_intdigest(low.encode(), 42)
+        n -= n >> 63 << 64
+        k = int(np.searchsorted(self.numbers, np.int64(n)))
+        return n, int(self.bits[k]) if k < len(self.numbers) and self.numbers[k] == n else -1
 
     def of(self, word: str) -> int:
         low = word.lower()
@@ -196,10 +209,8 @@ class Disclosure:
         if found is None:
             if len(self.cache) > 300_000:
                 self.cache.clear()
-            n = xxhash.xxh64_intdigest(low.encode(), 42)
-            n = np.int64(n - (n >> 63 << 64))
-            k = int(np.searchsorted(self.numbers, n))
-            found = self.cache[low] = int(self.bits[k]) if k < len(self.numbers) and self.numbers[k] == n else UNKNOWN
+            n, found = self.own(low)
+            found = self.cache[low] = found if found >= 0 else self.lent.get(n, UNKNOWN)
         return found
 
     def names(self, text: str, taken: list[tuple[int, int]]):
@@ -298,8 +309,27 @@ class Disclosure:
         return found
 
 
-def learn(df: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """What the whole corpus says about its words: their numbers, sorted, and the decisions; KEPT at most."""
+def asked(text: str) -> set[str]:
+    """The words, in lower case, that `spans` may ask for: none of those it does may be missing."""
+    out = set(CAPITAL.findall(text))
+    a = b = 0
+    for m in WORD.finditer(text):
+        if m[0][0].isupper():
+            out.add(m[0])
+        # the 40 characters before a name may cut the word before it
+        for cut in range(max(a + 1, b - 39), min(b, m.start() - 39)):
+            out.update(WORD.findall(text[cut:b]))
+        a, b = m.span()
+    for m in ADDRESSES.finditer(text):
+        if m[0].isupper():
+            out.update(WORD.findall(m[0]))
+    for kind, found in (("i", identities(text)), ("p", phones(text))):
+        out.update(kind + "\t" + label(text, at) for at, _, formed in found if not formed)
+    return {w.lower() for w in out}
+
+
+def learn(df: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, DataFrame | None]:
+    """What the whole corpus says about its words: numbers, sorted, and decisions, KEPT at most, and a table of the rest if there is one."""
     prepare(df.sparkSession)
 
     def count(batches):
@@ -325,11 +355,40 @@ def learn(df: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
         (RARELY, c("capitals") <= max(3, RARE * (capitals or 0))), (LABELS, c("formed") / F.greatest("numbers", F.lit(1)) >= LABEL),
     ]
     decided = sum((F.when(said, bit).otherwise(0) for bit, said in bits[1:]), F.when(bits[0][1], bits[0][0]).otherwise(0))
-    got = counted.filter(often > (every or 0) // KEPT).select(F.xxhash64("word").alias("number"), decided.cast("byte").alias("bits")).filter(c("bits") != UNKNOWN).toArrow()
+    every_word = counted.filter(often > 0).select(F.xxhash64("word").alias("number"), decided.cast("byte").alias("bits"), often.alias("often")).filter(c("bits") != UNKNOWN)
+    rare = every // KEPT if every_word.count() > KEPT else 0
+    got = every_word.filter(c("often") > rare).select("number", "bits").toArrow()
+    rest = stored(every_word.filter(c("often") <= rare).select("number", "bits"), "words") if rare else None
     drop(counted)
     numbers, said = got.column("number").to_numpy(), got.column("bits").to_numpy()
     order = np.argsort(numbers)
-    return numbers[order], said[order]
+    return numbers[order], said[order], rest
+
+
+def informed(df: DataFrame, key: str, text: str):
+    """The decisions that go to all workers, and `key` and `text` of every row; with what each text is lent of the rest, if there is any."""
+    numbers, said, rest = learn(df, text)
+    shared = df.sparkSession.sparkContext.broadcast((numbers, said))
+    if rest is None:
+        return shared, columns(df, key, text)
+
+    def ask(batches):
+        model = Disclosure(*shared.value)
+        cache: dict[str, tuple[int, int]] = {}
+        for batch in batches:
+            rows, wanted = [], []
+            for k, t in enumerate(batch.column(1).to_pylist()):
+                for w in asked(t) if t else ():
+                    if w not in cache:
+                        if len(cache) > 300_000:
+                            cache.clear()
+                        cache[w] = model.own(w)
+                    n, bits = cache[w]
+                    if bits < 0:
+                        rows.append(k), wanted.append(n)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(wanted, pa.int64())], names=["digest", "number"])
+
+    return shared, lent(columns(df, key, text), text, ask, rest, ["number"])
 
 
 def personal_data(df: DataFrame, key: str = "id", text: str = "texto") -> DataFrame:
@@ -338,27 +397,31 @@ def personal_data(df: DataFrame, key: str = "id", text: str = "texto") -> DataFr
     Null and blank texts have none; a text of any length is scanned whole; rows of one key that hold
     the same text count once.
     """
-    shared = df.sparkSession.sparkContext.broadcast(learn(df, text))
+    shared, informed_rows = informed(df, key, text)
 
     def find(batches):
         model = Disclosure(*shared.value)
         for batch in batches:
+            if batch.num_columns > 2:
+                model.lend(batch.column(2))
             rows, kinds, start, end = [], [], [], []
             for k, t in enumerate(batch.column(1).to_pylist()):
                 for kind, a, b in model.spans(t) if t else ():
                     rows.append(k), kinds.append(kind), start.append(a), end.append(b)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(kinds, pa.string()), pa.array(start, pa.int32()), pa.array(end, pa.int32())], names=[key, "clase", "inicio", "fin"])
 
-    return columns(df, key, text).mapInArrow(find, f"{key} {df.schema[key].dataType.simpleString()}, clase string, inicio int, fin int").distinct()
+    return informed_rows.mapInArrow(find, f"{key} {df.schema[key].dataType.simpleString()}, clase string, inicio int, fin int").distinct()
 
 
 def sanitised(df: DataFrame, key: str = "id", text: str = "texto") -> DataFrame:
     """Every row's `key` and `texto` with [EMAIL], [TELEFONO], [IDENTIDAD], [DIRECCION] and [NOMBRE] in place of what was found, and `n`, how many; null stays null."""
-    shared = df.sparkSession.sparkContext.broadcast(learn(df, text))
+    shared, informed_rows = informed(df, key, text)
 
     def clean(batches):
         model = Disclosure(*shared.value)
         for batch in batches:
+            if batch.num_columns > 2:
+                model.lend(batch.column(2))
             out, number = [], []
             for t in batch.column(1).to_pylist():
                 spans = model.spans(t) if t else []
@@ -370,4 +433,4 @@ def sanitised(df: DataFrame, key: str = "id", text: str = "texto") -> DataFrame:
                 out.append(None if t is None else "".join([*parts, t[at:]]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(number, pa.int32())], names=[key, text, "n"])
 
-    return columns(df, key, text).mapInArrow(clean, f"{key} {df.schema[key].dataType.simpleString()}, {text} string, n int")
+    return informed_rows.mapInArrow(clean, f"{key} {df.schema[key].dataType.simpleString()}, {text} string, n int")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pliego.plans.session import ship
 
@@ -76,3 +77,15 @@ def drop(*tables: DataFrame) -> None:
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns (whatever their names) play no part."""
     return df.select(*[df[n] for n in names])
+
+
+def lent(df: DataFrame, column: str, ask, of: DataFrame, keys: list[str]) -> DataFrame:
+    """The columns of `df`, named c0 and so on, with `lent`: of each row, the rows of `of` whose `keys` are among those that its value in `column` asks for.
+
+    `ask` makes batches of (digest, *keys) of batches of (digest, value).  Rows meet by 64 bits of the value: values
+    that share them are lent each other's rows too, so what is lent must hold by its keys alone.
+    """
+    digest = F.xxhash64(df[column])
+    wanted = df.select(digest.alias("digest"), df[column].alias("value")).mapInArrow(ask, "digest long, " + ", ".join(f"{k} {of.schema[k].dataType.simpleString()}" for k in keys)).distinct()
+    found = wanted.join(of, keys).groupBy("digest").agg(F.collect_list(F.struct(*of.columns)).alias("lent"))
+    return df.join(found, digest == found["digest"], "left").select(*[df[c].alias(f"c{k}") for k, c in enumerate(df.columns)], found["lent"])
