@@ -11,8 +11,9 @@ that closes nothing).  A forward-backward pass over the gaps of a block then giv
 event, in which neighbouring events depend on one another through the length of what lies between them.
 
 Texts are scanned once, into a table of gaps; counting and decoding are array work on that.  Words are known by 64
-bits.  Only those that stand before or after more than one in KEPT of all gaps have counts of their own in the model,
-which are KEPT at most on either side however large the corpus; of the others their class decides.
+bits, and each has counts of its own.  They go to all workers, unless there are more than KEPT words on a side; then
+those of words that stand there in more than one in KEPT of all gaps do, which are KEPT at most, and each text's gaps
+are lent the others by a join.  The results are the same.
 
 What stands in quotes or brackets can't end the sentence that holds them; Thai has no marks, there the
 blanks are the gaps and the event is read off the characters beside them.
@@ -29,9 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pliego.llm.spark import columns, drop, prepare, stored
+from pliego.llm.spark import columns, drop, lent, prepare, stored
 
-#: Words with counts of their own on either side of gaps at most; word classes.
+#: Words on either side of gaps whose counts go to all workers at most; word classes.
 KEPT, CLASSES = 1 << 20, 64
 #: Weight of a word's class in gaps, and the posterior below which one side settles a gap.
 PRIOR, SETTLED = 2.0, 0.05
@@ -285,32 +286,51 @@ def added(frames: list[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames).groupby(["what", "key"], as_index=False, sort=False)[["gaps", "edges"]].sum()
 
 
+def by_word(counts: pd.DataFrame) -> list[tuple[np.ndarray, ...]]:
+    """On either side the words, sorted, and how often they stand in gaps and at edges."""
+    what = counts["what"].to_numpy()
+    return [tuple(one[c].to_numpy() for c in COUNTS[1:]) for side in (0, 1) for one in [counts[what == BY_WORD[side]].sort_values("key")]]
+
+
+def of_batch(rows: pa.ListArray) -> pd.DataFrame:
+    """The counts lent to a batch, each once."""
+    of = rows.flatten()
+    return pd.DataFrame({f.name: of.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(of.type)}).drop_duplicates(COUNTS[:2])
+
+
 class Tables:
-    """Counts before and after gaps and edges, by word and by class, looked up by arrays."""
+    """Counts before and after gaps and edges, by word and by class, looked up by arrays; and those lent to the gaps at hand."""
 
     def __init__(self, counts: pd.DataFrame):
         what = counts["what"].to_numpy()
-        self.words, self.shares = [], []
+        self.words, self.shares = by_word(counts), []
+        self.lent = by_word(counts[:0])
         self.rest = np.zeros(5)
         some = counts[what == REST]
         self.rest[some["key"]] = some["gaps"]
         self.ratio = (self.rest[FULLS] + 1) / (self.rest[FULL_ENDS] + 1)
         for side in (0, 1):
-            one = counts[what == BY_WORD[side]].sort_values("key")
-            self.words.append(tuple(one[c].to_numpy() for c in COUNTS[1:]))
             per, seen, edge = counts[what == BY_CLASS[side]], np.zeros(CLASSES), np.zeros(CLASSES)
             seen[per["key"]], edge[per["key"]] = per["gaps"], per["edges"]
             self.shares.append(np.clip((np.minimum(self.ratio * edge, seen) + 0.5) / (seen + 1), 0.02, 0.98))
 
+    def lend(self, counts: pd.DataFrame) -> None:
+        """Takes the counts of the other words of a batch, in place of the batch's before."""
+        self.lent = by_word(counts)
+
+    def own(self, word: np.ndarray, side: int) -> np.ndarray:
+        """Whether words have counts here on a side, but for those lent."""
+        return np.isin(word, self.words[side][0])
+
     def seen(self, rec: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
-        """How often the words on one side stand in gaps and at edges; 0 for words without counts of their own."""
-        keys, gaps, edges = self.words[side]
-        if not len(keys):
-            return np.zeros(len(rec)), np.zeros(len(rec))
-        word = numbers(rec, side)
-        at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
-        own = keys[at] == word
-        return np.where(own, gaps[at], 0), np.where(own, edges[at], 0)
+        """How often the words on one side stand in gaps and at edges; 0 for words that never stood in one."""
+        word, in_gaps, at_edges = numbers(rec, side), np.zeros(len(rec)), np.zeros(len(rec))
+        for keys, gaps, edges in (self.words[side], self.lent[side]):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
+                here = keys[at] == word
+                in_gaps, at_edges = np.where(here, gaps[at], in_gaps), np.where(here, edges[at], at_edges)
+        return in_gaps, at_edges
 
     def odds(self, rec: np.ndarray, side: int) -> np.ndarray:
         """Log odds of a boundary by the share of boundaries among the gaps of the word on one side."""
@@ -327,6 +347,11 @@ class Model:
         self.one, self.two = Tables(first), Tables(second)
         self.single = (self.one.rest[SINGLES] + 0.5) / (self.one.rest[EDGES] + 100.0)
 
+    def lend(self, counts: pd.DataFrame) -> None:
+        """Takes both counts of the other words of a batch."""
+        self.one.lend(counts)
+        self.two.lend(counts[COUNTS[:2]].assign(gaps=counts["gaps2"], edges=counts["edges2"]))
+
     def odds(self, gap: np.ndarray) -> np.ndarray:
         """Log odds of a boundary: by the second count, where the word stands at edges at all and not nearly all its gaps were settled."""
         total = np.zeros(len(gap))
@@ -395,8 +420,8 @@ def sentences(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     """`key, inicio, fin` of every sentence unit of every row of df, in code points.
 
     Blank and null texts have none; repeated rows come out as often as they stand there; a text of any
-    length is one value, cut block by block.  The counts are over all rows; what is gathered and broadcast
-    is KEPT words on either side of gaps at most.
+    length is one value, cut block by block.  The counts are over all rows and of all words; what is gathered
+    and broadcast is KEPT words on either side of gaps at most.
     """
     spark = df.sparkSession
     prepare(spark)
@@ -410,9 +435,11 @@ def sentences(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     kind_of_key = df.schema[key].dataType.simpleString()
     scanned = stored(columns(df, key, text).mapInArrow(scan, f"{key} {kind_of_key}, gaps binary"), "gaps")
 
-    def counted(first: pd.DataFrame | None) -> pd.DataFrame:
+    def counted(first, gaps: DataFrame) -> DataFrame:
+        """The counts of all words; given those that went to all workers, without the gaps that they settle."""
+
         def count(batches):
-            one = None if first is None else Tables(shared.value)
+            one = None if first is None else Tables(first.value)
             low = np.log(SETTLED / (1 - SETTLED))
 
             def open_still(gap, side):  # by the word on the other side
@@ -421,6 +448,8 @@ def sentences(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             held, size = [], 0
             for batch in batches:
                 rec, _ = records(batch.column(0).to_pylist())
+                if batch.num_columns > 1:
+                    one.lend(of_batch(batch.column(1)))
                 held.append(tally(rec, None if one is None else open_still))
                 size += len(held[-1])
                 if size > 1_000_000:
@@ -430,22 +459,48 @@ def sentences(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
                 total = added(held)
                 yield pa.RecordBatch.from_arrays([pa.array(total[c].to_numpy(), t) for c, t in zip(COUNTS, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=COUNTS)
 
-        shared = None if first is None else spark.sparkContext.broadcast(first)
-        per_task = scanned.select("gaps").mapInArrow(count, "what int, key long, gaps long, edges long")
-        total = stored(per_task.groupBy("what", "key").agg(F.sum("gaps").alias("gaps"), F.sum("edges").alias("edges")), "counts")
-        every = total.filter((F.col("what") == REST) & (F.col("key") == GAPS)).select("gaps").first()
-        rare = every[0] // KEPT if every else 0
-        out = total.filter((F.col("what") > max(BY_WORD)) | (F.col("gaps") > rare)).toArrow().to_pandas()
-        drop(total)
-        return out
+        per_task = gaps.mapInArrow(count, "what int, key long, gaps long, edges long")
+        return stored(per_task.groupBy("what", "key").agg(F.sum("gaps").alias("gaps"), F.sum("edges").alias("edges")), "counts")
 
-    first = counted(None)
-    both = spark.sparkContext.broadcast((first, counted(first)))
+    def ask(batches):
+        one = Tables(first.value)
+        for batch in batches:
+            rec, of = records(batch.column(1).to_pylist())
+            gaps = (rec[:, KIND] == 1) & (rec[:, FLAGS] & FORCED == 0)
+            rec, of = rec[gaps], of[gaps]
+            for side in (0, 1):
+                word = numbers(rec, side)
+                other = ~one.own(word, side)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[other])), pa.array(np.full(other.sum(), BY_WORD[side]), pa.int32()), pa.array(word[other])], names=["digest", *keys])
+
+    def gathered(counts: DataFrame) -> pd.DataFrame:
+        return counts.filter((F.col("what") > max(BY_WORD)) | (F.col("gaps") > 0)).toArrow().to_pandas()
+
+    keys = COUNTS[:2]
+    all_first = counted(None, scanned.select("gaps"))
+    is_word = F.col("what") <= max(BY_WORD)
+    every, *sides = all_first.agg(F.sum(F.when((F.col("what") == REST) & (F.col("key") == GAPS), F.col("gaps"))), *[F.count_if((F.col("what") == w) & (F.col("gaps") > 0)) for w in BY_WORD]).first()
+    rare = every // KEPT if max(sides) > KEPT else 0
+    often = ~is_word | (F.col("gaps") > rare)
+    first = spark.sparkContext.broadcast(gathered(all_first.filter(often)))
+    if rare:
+        rest = all_first.filter(~often & (F.col("gaps") > 0))
+        all_second = counted(first, lent(scanned.select("gaps"), "gaps", ask, rest, keys))
+        second = gathered(all_second.join(all_first.filter(often).select(*keys), keys, "left_semi"))
+        both_of_rest = stored(rest.join(all_second.withColumnsRenamed({"gaps": "gaps2", "edges": "edges2"}), keys, "left").fillna(0), "counts")
+        scanned = lent(scanned, "gaps", ask, both_of_rest, keys)
+    else:
+        all_second = counted(first, scanned.select("gaps"))
+        second = gathered(all_second)
+    drop(all_first, all_second)
+    both = spark.sparkContext.broadcast((first.value, second))
 
     def cut(batches):
         model = Model(*both.value)
         for batch in batches:
             rec, of = records(batch.column(1).to_pylist())
+            if batch.num_columns > 2:
+                model.lend(of_batch(batch.column(2)))
             row, start, end = units(rec, of, model.boundaries(rec))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int32()), pa.array(end, pa.int32())], names=[key, "inicio", "fin"])
 
