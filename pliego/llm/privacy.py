@@ -309,20 +309,31 @@ class Disclosure:
         return found
 
 
+#: What a line (of Latin letters) holds in which a window of 40 characters may cut a word and hold no other: more than 20 characters without a word, or of one.
+CUT = re.compile(r"[^A-Za-z\n]{21}|[A-Za-z\xaa-\xff'’·]{21}")
+#: Letters whose capitals CAPITAL doesn't know, and a word in capitals of four letters or more.
+OTHER, SHOUTED = re.compile(r"[^\W\d_\x00-\xff]"), re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_a-zß-öø-ÿ]{3}")
+
+
 def asked(text: str) -> set[str]:
     """The words, in lower case, that `spans` may ask for: none of those it does may be missing."""
     out = set(CAPITAL.findall(text))
-    a = b = 0
-    for m in WORD.finditer(text):
-        if m[0][0].isupper():
-            out.add(m[0])
-        # the 40 characters before a name may cut the word before it
-        for cut in range(max(a + 1, b - 39), min(b, m.start() - 39)):
-            out.update(WORD.findall(text[cut:b]))
-        a, b = m.span()
-    for m in ADDRESSES.finditer(text):
-        if m[0].isupper():
-            out.update(WORD.findall(m[0]))
+    other = OTHER.search(text)
+    if other:
+        out.update(w for w in WORD.findall(text) if w[0].isupper())
+    if other or CUT.search(text):
+        for line in text.split("\n"):
+            a = b = 0
+            for m in WORD.finditer(line) if other or CUT.search(line) else ():
+                # the 40 characters before a name may cut the word before it
+                for cut in range(max(a + 1, b - 39), min(b, m.start() - 39)):
+                    out.update(WORD.findall(line[cut:b]))
+                a, b = m.span()
+    if SHOUTED.search(text):
+        for line in text.split("\n"):
+            for m in ADDRESSES.finditer(line) if SHOUTED.search(line) else ():
+                if m[0].isupper():
+                    out.update(WORD.findall(m[0]))
     for kind, found in (("i", identities(text)), ("p", phones(text))):
         out.update(kind + "\t" + label(text, at) for at, _, formed in found if not formed)
     return {w.lower() for w in out}
