@@ -2,8 +2,8 @@
 
 Texts are normalised to words and words to symbols.  The passages of an evaluation text are all its runs of
 three words, which are also what likeness counts.  Evaluation texts lie in shards of bounded size; each shard
-becomes an Aho-Corasick automaton of all its passages that scans all training texts once.  The matches are
-everything that is needed: the passages of a record found in a training text are the runs they have in common,
+becomes an Aho-Corasick automaton of all its passages that scans all training texts once, many stretches of them
+in step.  The matches are everything that is needed: the passages of a record found in a training text are the runs they have in common,
 so their number gives the likeness, and the intervals where they stand, merged, the coverage of the record.
 
 No pair is left out: two texts whose common runs are at least LIKE of the record's cannot miss more than the rest
@@ -17,7 +17,6 @@ import hashlib
 import json
 import math
 from decimal import Decimal
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +26,17 @@ from pyspark.sql import functions as F
 from pliego.llm.spark import columns, prepare, remove, scratch, stored
 from pliego.llm.words import LIKE, RUN, WordHash, digest, mix, runs
 
-#: Words of the records of one shard, of some 150 bytes each on a worker if no two passages are equal; a text with more
+#: Words of the records of one shard, of some 230 bytes each on a worker (320 while it is built) if no two passages are equal; a text with more
 #: is a shard of its own.
 SHARD_WORDS = 3_000_000
 #: Buckets of records per shard, which are put together to shards by their size.
 BUCKETS = 16
 #: Words scanned at once, and pairs of (text, record) gathered at once unless one text alone has more.
 BLOCK, GATHERED = 200_000, 2_000_000
-#: Bits of a word's symbol, and of the second of the two letters that stand for it.
-BITS, LAST = 21, 11
+#: Words of a stretch.
+STRETCH = 32
+#: Bits of a word's symbol, and the symbol after a text, which is no word's.
+BITS, END = 21, 1 << 21
 
 
 def symbols(numbers: np.ndarray) -> np.ndarray:
@@ -43,12 +44,6 @@ def symbols(numbers: np.ndarray) -> np.ndarray:
     return (mix(numbers) & np.uint64((1 << BITS) - 1)).astype(np.uint32)
 
 
-def letters(code: np.ndarray) -> str:
-    """Two letters for each symbol, of two alphabets, so that no node of an automaton has many children however many words there are, and none is matched from its second letter on."""
-    two = np.stack([(code >> np.uint32(LAST)) + np.uint32(0x100), (code & np.uint32((1 << LAST) - 1)) + np.uint32(0x800)], -1)
-    return two.astype("<u4").tobytes().decode("utf-32-le")
-
-
 def passages(code: np.ndarray) -> np.ndarray:
     """One number for each run of three symbols, in order."""
     c = code.astype(np.uint64)
@@ -190,23 +185,106 @@ def once(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
+class Automaton:
+    """The Aho-Corasick automaton of some passages (sorted, distinct), as arrays.
+
+    Node 0 is the root; then come first words, pairs of words, and the passages, whose nodes are leaves.  `root` has
+    where each symbol leads from the root, a hash table where it leads from other nodes, `fail` each node's failure link.
+    """
+
+    def __init__(self, passage: np.ndarray):
+        last = np.uint64(BITS)
+        pair, pair_of = numbered(passage >> last)
+        first, first_of = numbered(pair >> last)
+        pairs, self.leaf = 1 + len(first), 1 + len(first) + len(pair)
+        self.root = np.zeros(END + 1, np.int32)
+        self.root[first.astype(np.int64)] = np.arange(1, pairs)
+        symbol = np.concatenate([pair, passage]).astype(np.int64) & (END - 1)
+        key = self.key(np.concatenate([1 + first_of, pairs + pair_of]), symbol)
+        order = np.argsort(key)
+        self.keys, self.to = key[order], (pairs + order).astype(np.int32)
+        bits = len(key).bit_length() + 1  # two to four slots for each
+        self.shift = np.uint64(64 - bits)
+        self.slot = np.zeros((1 << bits) + 1, np.int32)  # where the keys with these first bits begin
+        np.cumsum(np.bincount((self.keys >> self.shift).astype(np.int64), minlength=1 << bits), out=self.slot[1:])
+        self.fail = np.zeros(self.leaf + len(passage), np.int32)
+        self.fail[pairs : self.leaf] = self.root[symbol[: len(pair)]]
+        self.fail[self.leaf :] = self.next(self.fail[pairs : self.leaf][pair_of], symbol[len(pair) :])
+
+    @staticmethod
+    def key(node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """One number for both, spread over all of 64 bits; by an odd factor, so that no two become one."""
+        return ((node.astype(np.int64) << (BITS + 1)) | symbol).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+    def goto(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The nodes that symbols lead to from nodes other than the root, 0 where there is none."""
+        key = self.key(node, symbol)
+        slot = (key >> self.shift).astype(np.int64)
+        at, end = self.slot[slot], self.slot[slot + 1]
+        to = np.zeros(len(key), np.int32)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at[left]
+            equal = self.keys[here] == key[left]
+            to[left[equal]] = self.to[here[equal]]
+            left = left[~equal]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return to
+
+    def next(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The states after a symbol each: by the node itself, or else by the first that its failure links lead to."""
+        after = self.root[symbol]
+        left = np.flatnonzero(state)
+        node = state[left]
+        while len(left):
+            to = self.goto(node, symbol[left])
+            after[left] = np.where(to, to, after[left])
+            node = self.fail[node[to == 0]]
+            left = left[to == 0][node > 0]
+            node = node[node > 0]
+        return after
+
+    def read(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the passages of some texts begin, each text with END after it, and which they are, in no order.
+
+        Stretches are read in step, each with the two words before it, so that every passage ends in one of them.
+        """
+        before = RUN - 1
+        padded = np.full(before + -(-len(code) // STRETCH) * STRETCH, END, np.int64)
+        padded[before : before + len(code)] = code
+        words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, STRETCH + before)[::STRETCH].T)
+        state = np.zeros(words.shape[1], np.int32)
+        place, passage = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k, symbol in enumerate(words):
+            state = self.next(state, symbol)
+            found = np.flatnonzero(state >= self.leaf)
+            place.append(found * STRETCH + (k - 2 * before))
+            passage.append(state[found].astype(np.int64) - self.leaf)
+            state[found] = self.fail[state[found]]  # nothing leads on from a leaf
+        return np.concatenate(place), np.concatenate(passage)
+
+
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of sorted values, and the number of each value among them."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new], np.cumsum(new) - 1
+
+
 class Shard:
     """The automaton of one shard's passages, and which records have them."""
 
     def __init__(self, ids: np.ndarray, codes: list[bytes]):
-        import ahocorasick
-
         self.ids = ids
         runs_of = [passages(np.frombuffer(c, np.uint32)) for c in codes]
         self.start = np.concatenate([[0], np.cumsum([len(r) for r in runs_of])]).astype(np.int64)
         flat = np.concatenate([*runs_of, np.zeros(0, np.uint64)])
         order = np.argsort(flat)
-        new = np.ones(len(flat), bool)
-        new[1:] = flat[order[1:]] != flat[order[:-1]]
-        distinct = flat[order[new]]
+        distinct, number = numbered(flat[order])
         self.size, self.records = len(distinct), len(ids)
         self.at = np.empty(len(flat), np.int32)  # the passages of each record, in order
-        self.at[order] = np.cumsum(new, dtype=np.int32) - 1
+        self.at[order] = number
         owner = np.repeat(np.arange(self.records), np.diff(self.start))
         held = once(owner * max(1, self.size) + self.at)
         self.of, which = held // max(1, self.size), held % max(1, self.size)
@@ -221,13 +299,7 @@ class Shard:
         self.owner = self.of[lead].astype(np.int32)
         self.owned = np.searchsorted(which[lead], np.arange(self.size + 1))
         self.wanted = wanted(self.distinct)
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        mask = np.uint64((1 << BITS) - 1)
-        spelled = letters(np.stack([(distinct >> np.uint64(k * BITS)) & mask for k in (2, 1, 0)], 1).astype(np.uint32))
-        for k in range(self.size):
-            self.machine.add_word(spelled[2 * RUN * k : 2 * RUN * (k + 1)], k)
-        if self.size:
-            self.machine.make_automaton()
+        self.machine = Automaton(distinct)
         self.mask = np.zeros(self.size, bool)
         self.covered: dict[int, np.ndarray] = {}
 
@@ -248,15 +320,17 @@ class Shard:
             yield from zip((pair // self.records).tolist(), (pair % self.records).tolist())
             a = b
 
-    def scan(self, codes: list[np.ndarray]):
-        """(text, record) of the like ones among some training texts; notes what they cover."""
-        parted = " ".join([letters(c) for c in codes])
-        begin = np.concatenate([[0], np.cumsum([2 * len(c) + 1 for c in codes])])
-        match = np.fromiter(chain.from_iterable(self.machine.iter(parted)), np.int64).reshape(-1, 2)
-        of_text = np.searchsorted(match[:, 0], begin)
-        each = [once(match[a:b, 1]) for a, b in zip(of_text[:-1], of_text[1:])]
-        of_text = np.cumsum([0, *map(len, each)])
-        text, passage = np.repeat(np.arange(len(each)), np.diff(of_text)), np.concatenate(each)
+    def scan(self, numbers: list[np.ndarray]):
+        """(text, record) of the like ones among some training texts, given as their words' numbers; notes what they cover."""
+        begin = np.cumsum([0, *[len(n) + 1 for n in numbers]])
+        code = np.full(begin[-1], END, np.uint32)
+        word = np.ones(begin[-1], bool)
+        word[begin[1:] - 1] = False
+        code[word] = symbols(np.concatenate(numbers))
+        place, passage = self.machine.read(code)
+        each = once(((np.searchsorted(begin, place, side="right") - 1) << 32) | passage)
+        text, passage = each >> 32, each & ((1 << 32) - 1)
+        of_text = np.searchsorted(text, np.arange(len(begin)))
         last = None
         for t, record in self.met(text, passage):
             mine = passage[of_text[t] : of_text[t + 1]]
@@ -264,7 +338,7 @@ class Shard:
                 if last is not None:
                     self.mask[passage[of_text[last] : of_text[last + 1]]] = False
                 self.mask[mine] = True
-                last, size = t, len(once(passages(codes[t])))
+                last, size = t, len(once(passages(code[begin[t] : begin[t + 1] - 1])))
             distinct = int(self.distinct[record])
             common = int(self.mask[self.which[self.first[record] : self.first[record + 1]]].sum())
             if common >= LIKE * distinct - 1e-9:
@@ -307,8 +381,8 @@ def _scanner(payload, name: str):
         shard.covered.clear()
         done: set[int] = set()  # repeats work where there are more: the same links come out again
 
-        def scanned(same, codes):
-            for t, record in shard.scan(codes):
+        def scanned(same, numbers):
+            for t, record in shard.scan(numbers):
                 yield same[t], shard.ids[record]
 
         def rows(train, evals, at=None, bits=None):
@@ -316,19 +390,19 @@ def _scanner(payload, name: str):
             return pa.RecordBatch.from_arrays([pa.array(train, pa.int64()), pa.array(evals, pa.int64()), pa.array(at if at is not None else [None] * n, pa.int32()), pa.array(bits if bits is not None else [None] * n, pa.int64())], names=["train", "eval", "at", "bits"])
 
         for batch in batches:
-            links, same, codes, size = [], [], [], 0
+            links, same, numbers, size = [], [], [], 0
             for s, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if s in done or not shard.size:
                     continue
                 if len(done) < 200_000:
                     done.add(s)
-                same.append(s), codes.append(symbols(np.frombuffer(raw, np.uint32)))
-                size += len(codes[-1])
+                same.append(s), numbers.append(np.frombuffer(raw, np.uint32))
+                size += len(numbers[-1])
                 if size > BLOCK:
-                    links += scanned(same, codes)
-                    same, codes, size = [], [], 0
-            if codes:
-                links += scanned(same, codes)
+                    links += scanned(same, numbers)
+                    same, numbers, size = [], [], 0
+            if numbers:
+                links += scanned(same, numbers)
             yield rows([a for a, _ in links], [b for _, b in links])
         for record, at, bits in shard.coverage():
             yield rows([None] * len(at), [shard.ids[record]] * len(at), at, bits)

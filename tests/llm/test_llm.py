@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 import unicodedata
 
 import numpy as np
@@ -186,6 +187,46 @@ def test_overlap_of_short_texts(spark):
     assert made["rows"].filter("row = 904").join(made["coverage"], "same").first().cubiertas == 5
 
 
+@pytest.mark.parametrize("words", [2, 5, 60])
+def test_automaton(words):
+    """Against a dictionary: failure links of all depths, ends of texts, texts longer and shorter than a stretch, words that no passage has."""
+    r = np.random.default_rng(words)
+    letters = overlap.symbols(np.arange(words, dtype=np.uint32))
+    known = sorted({tuple(r.choice(letters[: max(2, words // 2)], 3).tolist()) for _ in range(words * words)})
+    machine = overlap.Automaton(overlap.passages(np.array(known, np.uint32).ravel())[:: overlap.RUN])
+    texts = [r.choice(letters, r.integers(0, 100)).tolist() for _ in range(200)]
+    code, want = [], []
+    for t in texts:
+        want += [(len(code) + k, known.index(tuple(t[k : k + 3]))) for k in range(len(t) - 2) if tuple(t[k : k + 3]) in known]
+        code += [*t, overlap.END]
+    place, passage = machine.read(np.array(code, np.uint32))
+    assert len(want) > 20 and sorted(zip(place.tolist(), passage.tolist())) == want
+    assert not len(overlap.Automaton(np.zeros(0, np.uint64)).read(np.array(code, np.uint32))[0])
+
+
+def test_overlap_scan_is_cheap():
+    """Scanning texts costs less than it takes an automaton in C just to read their words, part of which stand in passages."""
+    ahocorasick = pytest.importorskip("ahocorasick")
+    r = np.random.default_rng(5)
+    records = [r.integers(0, 5000, 300, dtype=np.uint32) for _ in range(300)]
+    texts = [np.where(r.random(400) < 0.4, r.integers(0, 1 << 32, 400, dtype=np.uint32), np.resize(records[k % 300], 400)) for k in range(500)]
+    shard = overlap.Shard(np.arange(300), [overlap.symbols(x).tobytes() for x in records])
+    spelled = lambda x: "".join(chr(0x100 + (c >> 11)) + chr(0x800 + (c & 2047)) for c in overlap.symbols(x).tolist())
+    machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for x in map(spelled, records):
+        for k in range(0, len(x) - 4, 2):
+            machine.add_word(x[k : k + 6], k)
+    machine.make_automaton()
+    text = " ".join(map(spelled, texts))
+
+    def cost(work):
+        began = time.process_time()
+        work()
+        return time.process_time() - began
+
+    assert min(cost(lambda: list(shard.scan(texts))) for _ in range(5)) < min(cost(lambda: list(machine.iter(text))) for _ in range(5))
+
+
 def test_json_by_value():
     same = [['{"a": 12, "b": [1.50, null]}', '{ "b":[15e-1, null],"a":12.0, "c": null}'], ["1e16", "10000000000000000", "1.0E+16"], ["9007199254740993", "9007199254740993.0"], ["0", "-0.0", "0e9"], ['"\\u00e1"', '"á"'], ["9007199254740992"], ["true"], ["1"], ['"1"'], ["[]"], ["{}"], ["0.1"], ["0.10000000000000001"]]
     keys = [{overlap.canonical(x) for x in group} for group in same]
